@@ -12,6 +12,13 @@ CONTACT_WAVE_DAYS = 10
 MEASUREMENT_DAYS = 60
 
 
+def _rows(spark: SparkSession, table: str, values: list[tuple]) -> DataFrame:
+    """A few literal rows of a table, sized for the optimiser as what they are."""
+    schema = TABLES[table]
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in values]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _calendar_columns() -> list[Column]:
     d = F.col("full_date")
     weekday = F.weekday(d) + 1
@@ -40,8 +47,8 @@ def calendar_window(spark: SparkSession, start: DateLike, n_months: int = 12, ta
 
 def unknown_date(spark: SparkSession) -> DataFrame:
     """The Unknown member of the calendar: key 0, no date."""
-    row = {"date_sk": 0, "month_name": "Unknown", "day_name": "Unknown"}
-    return spark.createDataFrame([row], TABLES["dim_date"])
+    named = {"date_sk": 0, "month_name": "Unknown", "day_name": "Unknown"}
+    return _rows(spark, "dim_date", [tuple(named.get(c) for c in TABLES["dim_date"].fieldNames())])
 
 
 def with_unknown_date(dates: DataFrame) -> DataFrame:
@@ -51,11 +58,11 @@ def with_unknown_date(dates: DataFrame) -> DataFrame:
 
 def no_merchant(spark: SparkSession) -> DataFrame:
     """The Not Applicable merchant: key 0."""
-    return spark.createDataFrame([(0, "Not Applicable", 0, NO_CATEGORY)], TABLES["dim_merchant"])
+    return _rows(spark, "dim_merchant", [(0, "Not Applicable", 0, NO_CATEGORY)])
 
 
 def product_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PRODUCTS), TABLES["dim_product"])
+    return _rows(spark, "dim_product", list(PRODUCTS))
 
 
 def mcc_code(category: Column) -> Column:
