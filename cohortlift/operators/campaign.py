@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortlift.functions.expressions import exact_mean, hash_slot, ratio, rounded
+from cohortlift.operators.ranking import quantiles
 
 Z_95 = 1.96
 SLOTS = 10_000
@@ -168,10 +169,10 @@ def truth_in_interval(responses: DataFrame, truth: DataFrame) -> DataFrame:
         gap.alias("gap"), ratio(F.abs(gap), F.col("std_error")).alias("gap_in_se"))
 
 
-def value_index(df: DataFrame, measure: str, out: str = "value_index", accuracy: int = 10_000) -> DataFrame:
-    """``measure`` relative to its median over all rows; the median is a mergeable sketch."""
-    median = df.agg(F.percentile_approx(F.col(measure).cast("double"), 0.5, accuracy)).scalar()
-    return df.withColumn(out, ratio(F.col(measure), median))
+def value_index(df: DataFrame, measure: str, out: str = "value_index") -> DataFrame:
+    """``measure`` relative to its exact median over all rows."""
+    median = quantiles(df, measure, [0.5])[0]
+    return df.withColumn(out, ratio(F.col(measure), F.lit(median)))
 
 
 def summary(responses: DataFrame, truth: DataFrame) -> DataFrame:

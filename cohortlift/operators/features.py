@@ -307,10 +307,20 @@ def feature_matrix_by_blocks(txn: DataFrame, snapshot: DataFrame, customers: Dat
     return out.na.fill(0)
 
 
-def monthly_feature_snapshots(txn: DataFrame, as_of_dates: list[DateLike]) -> DataFrame:
-    """Transaction features as seen at several dates, one row per customer and date."""
-    out = None
-    for as_of in as_of_dates:
-        part = transaction_features(txn, as_of).withColumn("as_of", day(as_of))
-        out = part if out is None else out.unionByName(part)
-    return out
+def monthly_feature_snapshots(txn: DataFrame, as_of_months: list[DateLike]) -> DataFrame:
+    """Purchase features as seen at the start of several months, one row per customer and month.
+
+    The fact is read once and reduced to customer and month; each of those rows then counts
+    towards every later date, so only the reduced rows are multiplied.
+    """
+    dates = F.array(*[month_start(day(d)) for d in as_of_months])
+    last = max(str(d) for d in as_of_months)
+    months = before(txn, "txn_date", last).where(_is_purchase()).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_cents()).alias("cents"), F.max(_cents()).alias("top"),
+        F.max("txn_date").alias("last"))
+    seen = months.select("*", F.explode(F.filter(dates, lambda d: d > F.col("month"))).alias("as_of"))
+    return seen.groupBy("as_of", KEY).agg(
+        F.datediff(F.col("as_of"), F.max("last")).alias("recency_days"),
+        F.sum("n").alias("purchase_count"), _gel(F.sum("cents")).alias("total_spend_gel"),
+        ratio(_gel(F.sum("cents")), F.sum("n")).alias("avg_ticket_gel"), _gel(F.max("top")).alias("max_ticket_gel"),
+        F.count(F.lit(1)).alias("active_months"))

@@ -137,3 +137,54 @@ def ntile_global(df: DataFrame, score: str, tiles: int, key: str, descending: bo
                  resolution: int = 256) -> DataFrame:
     """``df`` with the exact NTILE of one score."""
     return add_ntiles(df, key, [Tile(score, tiles, out, descending)], resolution)
+
+
+def _values_at(df: DataFrame, measure: str, ranks: list[int], rows: int, resolution: int, small: int) -> dict[int, object]:
+    """The values at 0-based ``ranks`` of the non-null ``measure``, by narrowing to one cell after another."""
+    x = F.col(measure)
+    if rows <= small:
+        counts = df.groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+        upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("x")))
+        hits = upto.where(any_of([(F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for r in ranks])).collect()
+        return {r: h["x"] for r in ranks for h in hits if h["upto"] > r >= h["upto"] - h["n"]}
+    share = [i / resolution for i in range(1, resolution)]
+    cuts = df.agg(F.percentile_approx(x, share, 10 * resolution).alias("c")).first()["c"]
+    distinct = sorted(set(cuts))
+    below = F.size(F.filter(_literals(distinct, df.schema[measure].dataType), lambda c: c < x))
+    cell = 2 * below + F.when(x.isin(distinct), 1).otherwise(0)
+    counted = sorted((r["cell"], r["n"]) for r in df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
+    found: dict[int, object] = {}
+    passed = 0
+    for at, n in counted:
+        inside = [r for r in ranks if passed <= r < passed + n]
+        if inside and at % 2:
+            found |= dict.fromkeys(inside, distinct[at // 2])
+        elif inside:
+            low, high = at // 2 - 1, at // 2
+            part = df
+            if low >= 0:
+                part = part.where(x > F.lit(distinct[low]))
+            if high < len(distinct):
+                part = part.where(x < F.lit(distinct[high]))
+            deeper = _values_at(part, measure, [r - passed for r in inside], n, resolution, small)
+            found |= {r + passed: v for r, v in deeper.items()}
+        passed += n
+    return found
+
+
+def quantiles(df: DataFrame, measure: str, probabilities: list[float], resolution: int = 256,
+              small: int = 1_000_000) -> list[float | None]:
+    """Exact quantiles of a measure, interpolated between neighbours, at any number of rows.
+
+    Cells between sketched cut values are counted and only the cell that holds a wanted rank is
+    looked into, again and again until it has at most ``small`` rows. Values met at a cut are
+    their own cell, so ties end the search instead of prolonging it.
+    """
+    present = df.where(F.col(measure).isNotNull()).select(measure)
+    rows = present.count()
+    if rows == 0:
+        return [None] * len(probabilities)
+    spots = [(p * (rows - 1)) for p in probabilities]
+    ranks = sorted({r for s in spots for r in (int(s), min(int(s) + 1, rows - 1))})
+    at = {r: float(v) for r, v in _values_at(present, measure, ranks, rows, resolution, small).items()}
+    return [at[int(s)] + (s - int(s)) * (at[min(int(s) + 1, rows - 1)] - at[int(s)]) for s in spots]
