@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, DoubleType
 
 from cohortlift.functions.expressions import any_of
 
@@ -31,7 +32,22 @@ def _last_ranks(rows: int, tiles: int) -> list[int]:
 
 
 def _literals(values, data_type) -> Column:
-    return F.array(*map(F.lit, values)).cast(ArrayType(data_type))
+    """An array constant, sent as one string and folded once by the optimiser."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(ArrayType(data_type))
+
+
+def _shares(resolution: int) -> Column:
+    return _literals([i / resolution for i in range(1, resolution)], DoubleType())
+
+
+def _cuts_below(x: Column, cuts: list, data_type, stride: int = 16) -> Column:
+    """How many of the sorted ``cuts`` are less than ``x``: every 16th first, then the 16 that remain."""
+    if not cuts:
+        return F.lit(0)
+    coarse = cuts[stride - 1::stride]
+    passed = F.size(F.filter(_literals(coarse, data_type), lambda c: c < x)) * stride if coarse else F.lit(0)
+    rest = F.slice(_literals(cuts, data_type), passed + 1, F.lit(stride))
+    return passed + F.size(F.filter(rest, lambda c: c < x))
 
 
 class _Cells:
@@ -41,16 +57,14 @@ class _Cells:
     cuts of the key, so that no tie, however common, ends up in one cell.
     """
 
-    def __init__(self, tile: Tile, data_type, cuts: list, key: str, key_cuts: Column):
-        self.tile = tile
+    def __init__(self, tile: Tile, data_type, cuts: list, key: str, key_type, key_cuts: list):
         score = F.col(tile.score)
         distinct = sorted(set(cuts))
-        heavy = [v for v in distinct if cuts.count(v) > 1]
-        below = (F.size(F.filter(_literals(distinct, data_type), lambda c: c < score)) if distinct else F.lit(0))
-        is_heavy = score.isin(heavy) if heavy else F.lit(False)
-        alone = F.coalesce(is_heavy, F.lit(True))
-        self.cell = F.when(score.isNull(), 2 * len(distinct) + 1).otherwise(2 * below + F.when(is_heavy, 1).otherwise(0))
-        self.part = F.when(alone, F.size(F.filter(key_cuts, lambda c: c < F.col(key)))).otherwise(0)
+        heavy = sorted({v for v, n in Counter(cuts).items() if n > 1})
+        is_heavy = F.array_contains(_literals(heavy, data_type), score) if heavy else F.lit(False)
+        self.cell = F.when(score.isNull(), 2 * len(distinct) + 1).otherwise(
+            2 * _cuts_below(score, distinct, data_type) + is_heavy.cast("int"))
+        self.part = F.when(score.isNull() | is_heavy, _cuts_below(F.col(key), key_cuts, key_type)).otherwise(0)
 
 
 def _beyond(tile: Tile, key: str, score_bound, key_bound) -> Column:
@@ -66,43 +80,37 @@ def _beyond(tile: Tile, key: str, score_bound, key_bound) -> Column:
     return further | (same & (F.col(key) > F.lit(key_bound)))
 
 
-def add_ntiles(df: DataFrame, key: str, tiles: list[Tile], resolution: int = 256) -> DataFrame:
+SMALL = 200_000
+
+
+def _order(tile: Tile, score: str) -> Column:
+    return F.col(score).desc_nulls_first() if tile.descending else F.col(score).asc_nulls_last()
+
+
+def add_ntiles(df: DataFrame, key: str, tiles: list[Tile], resolution: int = 256, small: int = SMALL) -> DataFrame:
     """``df`` with one exact NTILE column per entry of ``tiles``.
 
-    Only the rows at the ends of the tiles decide the result, so nothing is shuffled whole:
-    (1) a sketch of every score and of the key gives cut values; (2) rows are counted per cell
-    between the cuts; (3) the cells that hold the last row of a tile, and only they, are
-    ranked to find that row. Each row is then compared with those few rows. What reaches the
-    driver is bounded by ``resolution`` and the number of tiles. ``df`` is read by every pass:
-    pass a stored table. ``key`` must be a unique number or date.
+    Up to ``small`` rows, counted first, a plain window does. Beyond that, only the rows at the
+    ends of the tiles decide the result, so nothing is shuffled whole: (1) a sketch of every
+    score and of the key gives cut values; (2) rows are counted per cell between the cuts, and
+    cells of ties per part of the key; (3) the cells that hold the last row of a tile, and only
+    they, are ranked to find that row. Each row is then compared with those few rows. What
+    reaches the driver is bounded by ``resolution`` and the number of tiles. ``df`` is read by
+    every pass: pass a stored table. ``key`` must be a unique number or date.
     """
-    share = [i / resolution for i in range(1, resolution)]
+    if df.count() <= small:
+        return df.withColumns({
+            t.out: F.ntile(t.tiles).over(Window.orderBy(_order(t, t.score), F.col(key))) for t in tiles})
+    share = _shares(resolution)
     names = [f"cuts_{i}" for i in range(len(tiles))]
     sketch = df.agg(
         F.count(F.lit(1)).alias("rows"), F.percentile_approx(key, share, 10 * resolution).alias("key_cuts"),
         *[F.percentile_approx(t.score, share, 10 * resolution).alias(n) for t, n in zip(tiles, names)]).first()
     rows = sketch["rows"]
-    if rows == 0:
-        return df.withColumns({t.out: F.lit(None).cast("int") for t in tiles})
-
-    key_cuts = _literals(sorted(set(sketch["key_cuts"])), df.schema[key].dataType)
-    cells = [_Cells(t, df.schema[t.score].dataType, sketch[n] or [], key, key_cuts) for t, n in zip(tiles, names)]
-    spread = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("spec"), c.cell.alias("cell"), c.part.alias("part")) for i, c in enumerate(cells)])))
-    counted = spread.groupBy("spec", "cell", "part").agg(F.count(F.lit(1)).alias("n")).collect()
-
-    ends = []
-    for i, spec in enumerate(tiles):
-        mine = sorted((r for r in counted if r["spec"] == i),
-                      key=lambda r: (-r["cell"] if spec.descending else r["cell"], r["part"]))
-        wanted = [b for b in _last_ranks(rows, spec.tiles) if 0 < b < rows]
-        passed = 0
-        for r in mine:
-            inside = [b - passed for b in wanted if passed < b <= passed + r["n"]]
-            if inside:
-                ends.append((i, r["cell"], r["part"], sorted(set(inside))))
-            passed += r["n"]
-
+    types = {f.name: f.dataType for f in df.schema}
+    key_cuts = sorted(set(sketch["key_cuts"] or []))
+    cells = [_Cells(t, types[t.score], sketch[n] or [], key, types[key], key_cuts) for t, n in zip(tiles, names)]
+    ends = _ends(df, tiles, cells, rows)
     bounds: dict[int, list] = {i: [] for i in range(len(tiles))}
     found = _rows_at(df, key, tiles, cells, ends)
     if found is not None:
@@ -112,6 +120,48 @@ def add_ntiles(df: DataFrame, key: str, tiles: list[Tile], resolution: int = 256
         t.out: sum((_beyond(t, key, s, k).cast("int") for k, s in bounds[i]), F.lit(1)) for i, t in enumerate(tiles)})
 
 
+def _counts(df: DataFrame, columns: list[list[Column]], wanted: Column | None = None) -> list[tuple]:
+    """Rows per (spec, position): one pass over ``df`` for all specs."""
+    spread = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("spec"), *[c.alias(f"p{j}") for j, c in enumerate(position)])
+        for i, position in enumerate(columns)])))
+    if wanted is not None:
+        spread = spread.where(wanted)
+    keys = spread.columns
+    return [tuple(r) for r in spread.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
+def _split(groups: list[tuple], ranks: list[int]) -> list[tuple]:
+    """Ordered (position, rows) groups against wanted ranks: (position, ranks inside it)."""
+    out, passed = [], 0
+    for position, n in groups:
+        inside = sorted({r - passed for r in ranks if passed < r <= passed + n})
+        if inside:
+            out.append((position, inside))
+        passed += n
+    return out
+
+
+def _ends(df: DataFrame, tiles: list[Tile], cells: list[_Cells], rows: int) -> list[tuple]:
+    """(spec, cell, part, positions) of the last row of every tile."""
+    per_cell = _counts(df, [[c.cell] for c in cells])
+    found = []
+    for i, spec in enumerate(tiles):
+        ordered = sorted(((c, n) for s, c, n in per_cell if s == i), reverse=spec.descending)
+        ranks = [b for b in _last_ranks(rows, spec.tiles) if 0 < b < rows]
+        found += [(i, cell, inside) for cell, inside in _split(ordered, ranks)]
+    tied = [(i, cell) for i, cell, _ in found if cell % 2]
+    if not tied:
+        return [(i, cell, 0, inside) for i, cell, inside in found]
+    here = any_of([(F.col("spec") == i) & (F.col("p0") == cell) for i, cell in tied])
+    per_part = _counts(df, [[c.cell, c.part] for c in cells], here)
+    ends = []
+    for i, cell, inside in found:
+        parts = sorted((p, n) for s, c, p, n in per_part if (s, c) == (i, cell)) if cell % 2 else [(0, rows)]
+        ends += [(i, cell, part, at) for part, at in _split(parts, inside)]
+    return ends
+
+
 def _rows_at(df: DataFrame, key: str, tiles: list[Tile], cells: list[_Cells], ends: list) -> DataFrame | None:
     """The rows at the wanted positions inside their cells."""
     found = None
@@ -124,8 +174,8 @@ def _rows_at(df: DataFrame, key: str, tiles: list[Tile], cells: list[_Cells], en
             cells[i].cell.alias("cell"), cells[i].part.alias("part"),
             F.col(spec.score).alias("_score"))
         here = here.where(any_of([(F.col("cell") == c) & (F.col("part") == p) for _, c, p, _ in mine]))
-        order = [F.col("_score").desc_nulls_first() if spec.descending else F.col("_score").asc_nulls_last(), F.col("key")]
-        ranked = here.withColumn("rn", F.row_number().over(Window.partitionBy("cell", "part").orderBy(*order)))
+        inside = Window.partitionBy("cell", "part").orderBy(_order(spec, "_score"), F.col("key"))
+        ranked = here.withColumn("rn", F.row_number().over(inside))
         hits = ranked.where(any_of([
             (F.col("cell") == c) & (F.col("part") == p) & F.col("rn").isin(at) for _, c, p, at in mine]))
         hits = hits.drop("_score", "cell", "part", "rn")
@@ -134,9 +184,9 @@ def _rows_at(df: DataFrame, key: str, tiles: list[Tile], cells: list[_Cells], en
 
 
 def ntile_global(df: DataFrame, score: str, tiles: int, key: str, descending: bool = False, out: str = "tile",
-                 resolution: int = 256) -> DataFrame:
+                 resolution: int = 256, small: int = SMALL) -> DataFrame:
     """``df`` with the exact NTILE of one score."""
-    return add_ntiles(df, key, [Tile(score, tiles, out, descending)], resolution)
+    return add_ntiles(df, key, [Tile(score, tiles, out, descending)], resolution, small)
 
 
 def _values_at(df: DataFrame, measure: str, ranks: list[int], rows: int, resolution: int, small: int) -> dict[int, object]:
@@ -147,11 +197,9 @@ def _values_at(df: DataFrame, measure: str, ranks: list[int], rows: int, resolut
         upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("x")))
         hits = upto.where(any_of([(F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for r in ranks])).collect()
         return {r: h["x"] for r in ranks for h in hits if h["upto"] > r >= h["upto"] - h["n"]}
-    share = [i / resolution for i in range(1, resolution)]
-    cuts = df.agg(F.percentile_approx(x, share, 10 * resolution).alias("c")).first()["c"]
-    distinct = sorted(set(cuts))
-    below = F.size(F.filter(_literals(distinct, df.schema[measure].dataType), lambda c: c < x))
-    cell = 2 * below + F.when(x.isin(distinct), 1).otherwise(0)
+    cuts = df.agg(F.percentile_approx(x, _shares(resolution), 10 * resolution).alias("c")).first()["c"]
+    distinct, kind = sorted(set(cuts)), df.schema[measure].dataType
+    cell = 2 * _cuts_below(x, distinct, kind) + F.array_contains(_literals(distinct, kind), x).cast("int")
     counted = sorted((r["cell"], r["n"]) for r in df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
     found: dict[int, object] = {}
     passed = 0
@@ -173,7 +221,7 @@ def _values_at(df: DataFrame, measure: str, ranks: list[int], rows: int, resolut
 
 
 def quantiles(df: DataFrame, measure: str, probabilities: list[float], resolution: int = 256,
-              small: int = 1_000_000) -> list[float | None]:
+              small: int = SMALL) -> list[float | None]:
     """Exact quantiles of a measure, interpolated between neighbours, at any number of rows.
 
     Cells between sketched cut values are counted and only the cell that holds a wanted rank is

@@ -48,7 +48,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 
     The month partition column is kept beside the declared ones, so it can prune.
     """
-    df = spark.read.parquet(_location(spark, root, table))
+    df = spark.read.parquet(location(spark, root, table))
     typed = conform(df, TABLES[table])
     month = PARTITIONED.get(table, (None,))[0]
     if month and month in df.columns:
@@ -56,7 +56,7 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return typed
 
 
-def _location(spark: SparkSession, root: str, table: str) -> str:
+def location(spark: SparkSession, root: str, table: str) -> str:
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
     fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
