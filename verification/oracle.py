@@ -402,7 +402,8 @@ SQL["mix_crosstab"] = with_star("SELECT persona, " + ", ".join(
     f"{_d(f'''count(*) FILTER (WHERE channel = '{c}')''')} / count(*) AS {c}" for c in CHANS if c != "atm")
     + " FROM txn JOIN persona USING (customer_sk) WHERE txn_type = 'purchase' GROUP BY persona", "txn", "persona")
 SQL["amount_distribution"] = with_star(f"""
-    SELECT quantile_cont({_d('amount_gel')}, 0.5) AS median, {_mean('amount_gel')} AS mean, quantile_cont({_d('amount_gel')}, 0.95) AS p95,
+    SELECT round(quantile_cont({_d('amount_gel')}, 0.5), 6) AS median, {_mean('amount_gel')} AS mean,
+           round(quantile_cont({_d('amount_gel')}, 0.95), 6) AS p95,
            {_d('max(amount_gel)')} AS max FROM txn WHERE txn_type = 'purchase'""", "txn")
 SQL["avg_ticket_by_category"] = with_star(
     f"SELECT mcc_category, {_mean('amount_gel')} AS avg_ticket_gel FROM txn WHERE txn_type = 'purchase' GROUP BY 1", "txn")

@@ -400,7 +400,7 @@ def mix_crosstab(s):
 
 @query
 def amount_distribution(s):
-    return profiling.amount_distribution(_purchases(s), "amount_gel")
+    return rounded(profiling.amount_distribution(_purchases(s), "amount_gel"), {"median": 6, "p95": 6})
 
 
 @query
