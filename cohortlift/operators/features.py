@@ -15,9 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.functions.expressions import (
-    DateLike, any_of, before, day, exact_mean, floored_ratio, month_start, ratio, sum_if,
-)
+from cohortlift.functions.expressions import DateLike, before, day, exact_mean, floored_ratio, month_start, sum_if
 from cohortlift.schema import CATEGORIES, CHANNELS, DIGITAL_CHANNELS, LABEL_DERIVED_COLUMNS
 
 KEY = "customer_sk"
@@ -26,127 +24,129 @@ CUSTOMER_COLUMNS = ("age", "tenure_years", "existing_product_count", "income_ban
 WEEKEND = (1, 7)  # Spark's dayofweek: Sunday, Saturday
 
 
-def _is_purchase() -> Column:
-    return F.col("txn_type") == "purchase"
+# Fact rows by kind, and amounts as whole minor units, as SQL expressions.
+PURCHASE = "txn_type = 'purchase'"
+DEBIT = "direction = 'debit'"
+INFLOW = "txn_type = 'inflow'"
+CASH = f"{DEBIT} AND txn_type = 'cash_withdrawal'"
+CENTS = "CAST(amount_gel * 100 AS BIGINT)"
 
 
-def _is_debit() -> Column:
-    return F.col("direction") == "debit"
+def _gel(cents: str) -> str:
+    return f"CAST({cents} AS DOUBLE) / 100D"
 
 
-def _is_inflow() -> Column:
-    return F.col("txn_type") == "inflow"
+def _cents_if(condition: str) -> str:
+    """Sum of the amounts where ``condition`` holds, in minor units; 0 if there is none."""
+    return f"sum(CASE WHEN {condition} THEN {CENTS} ELSE 0L END)"
 
 
-def _cents() -> Column:
-    return (F.col("amount_gel") * 100).cast("long")
+def _ratio(numerator: str, denominator: str) -> str:
+    return f"try_divide(CAST({numerator} AS DOUBLE), CAST({denominator} AS DOUBLE))"
 
 
-def _gel(cents: Column) -> Column:
-    return cents.cast("double") / 100.0
+def _floored(numerator: str, denominator: str) -> str:
+    return f"CAST({numerator} AS DOUBLE) / greatest(CAST({denominator} AS DOUBLE), 1D)"
 
 
-def _cents_if(condition: Column) -> Column:
-    """Sum of the amounts where ``condition`` holds, in minor units; 0 if there is none."""
-    return F.sum(F.when(condition, _cents()).otherwise(F.lit(0).cast("long")))
+def _named(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(e).alias(n) for n, e in expressions.items()]
 
 
 @dataclass(frozen=True)
 class Block:
-    """Features over the fact rows of one kind.
+    """Features over the fact rows of one kind, as SQL expressions.
 
     ``measures`` are aggregates per customer, each restricted to the rows of its kind, so blocks
     can share a scan. ``columns`` turns them into features. ``present`` names the measure that
     counts the block's rows.
     """
 
-    rows: Column
-    measures: dict[str, Column]
-    columns: dict[str, Column]
+    rows: str
+    measures: dict[str, str]
+    columns: dict[str, str]
     present: str
 
 
 def purchase_block(as_of: DateLike) -> Block:
-    buys, gel = _is_purchase(), F.col("amount_gel")
     return Block(
-        rows=buys,
+        rows=PURCHASE,
         measures={
-            "p_n": F.count_if(buys), "p_sum": _cents_if(buys), "p_max": F.max(F.when(buys, _cents())),
-            "p_sd": F.stddev_samp(F.when(buys, gel.cast("double"))),
-            "p_last": F.max(F.when(buys, F.col("txn_date"))),
-            "p_weekend": F.count_if(buys & F.dayofweek("txn_date").isin(*WEEKEND)),
+            "p_n": f"count_if({PURCHASE})", "p_sum": _cents_if(PURCHASE),
+            "p_max": f"max(CASE WHEN {PURCHASE} THEN {CENTS} END)",
+            "p_sd": f"stddev_samp(CASE WHEN {PURCHASE} THEN CAST(amount_gel AS DOUBLE) END)",
+            "p_last": f"max(CASE WHEN {PURCHASE} THEN txn_date END)",
+            "p_weekend": f"count_if({PURCHASE} AND dayofweek(txn_date) IN {WEEKEND})",
         },
         columns={
-            "recency_days": F.datediff(day(as_of), F.col("p_last")),
-            "purchase_count": F.col("p_n"),
-            "total_spend_gel": _gel(F.col("p_sum")),
-            "avg_ticket_gel": ratio(_gel(F.col("p_sum")), F.col("p_n")),
-            "ticket_volatility_gel": F.col("p_sd"),
-            "max_ticket_gel": _gel(F.col("p_max")),
-            "weekend_txn_share": ratio(F.col("p_weekend"), F.col("p_n")),
+            "recency_days": f"datediff(DATE '{as_of}', p_last)",
+            "purchase_count": "p_n",
+            "total_spend_gel": _gel("p_sum"),
+            "avg_ticket_gel": _ratio(_gel("p_sum"), "p_n"),
+            "ticket_volatility_gel": "p_sd",
+            "max_ticket_gel": _gel("p_max"),
+            "weekend_txn_share": _ratio("p_weekend", "p_n"),
         },
         present="p_n")
 
 
-def _shares(names, prefix: str, out: str) -> dict[str, Column]:
-    """Share of each listed value in the total of the listed values; 0 when that total is 0."""
-    listed = sum((F.col(f"{prefix}_{n}") for n in names[1:]), F.col(f"{prefix}_{names[0]}"))
-    return {f"{out}_{n}": F.when(listed > 0, ratio(F.col(f"{prefix}_{n}"), listed)).otherwise(0.0) for n in names}
+def _share(amount: str, listed: str) -> str:
+    """Share in the total of the listed values; 0 when that total is 0."""
+    return f"CASE WHEN {listed} > 0 THEN {_ratio(amount, listed)} ELSE 0D END"
 
 
 def category_block() -> Block:
-    measures = {f"cat_{c}": _cents_if(_is_purchase() & (F.col("mcc_category") == c)) for c in CATEGORIES}
-    return Block(rows=_is_purchase(), measures={**measures, "cat_rows": F.count_if(_is_purchase())},
-                 columns=_shares(CATEGORIES, "cat", "sh"), present="cat_rows")
+    listed = "(" + " + ".join(f"cat_{c}" for c in CATEGORIES) + ")"
+    return Block(
+        rows=PURCHASE,
+        measures={**{f"cat_{c}": _cents_if(f"{PURCHASE} AND mcc_category = '{c}'") for c in CATEGORIES},
+                  "cat_rows": f"count_if({PURCHASE})"},
+        columns={f"sh_{c}": _share(f"cat_{c}", listed) for c in CATEGORIES},
+        present="cat_rows")
 
 
 def channel_block() -> Block:
-    cash = _is_debit() & (F.col("txn_type") == "cash_withdrawal")
-    shares = _shares(CHANNELS, "chan", "ch")
-    digital = sum((F.col(f"chan_{c}") for c in DIGITAL_CHANNELS[1:]), F.col(f"chan_{DIGITAL_CHANNELS[0]}"))
-    listed = sum((F.col(f"chan_{c}") for c in CHANNELS[1:]), F.col(f"chan_{CHANNELS[0]}"))
+    listed = "(" + " + ".join(f"chan_{c}" for c in CHANNELS) + ")"
+    digital = "(" + " + ".join(f"chan_{c}" for c in DIGITAL_CHANNELS) + ")"
     return Block(
-        rows=_is_debit(),
+        rows=DEBIT,
         measures={
-            **{f"chan_{c}": _cents_if(_is_debit() & (F.col("channel") == c)) for c in CHANNELS},
-            "cash_n": F.count_if(cash), "cash_sum": _cents_if(cash), "debit_rows": F.count_if(_is_debit())},
+            **{f"chan_{c}": _cents_if(f"{DEBIT} AND channel = '{c}'") for c in CHANNELS},
+            "cash_n": f"count_if({CASH})", "cash_sum": _cents_if(CASH), "debit_rows": f"count_if({DEBIT})"},
         columns={
-            **shares,
-            "digital_value_share": F.when(listed > 0, ratio(digital, listed)).otherwise(0.0),
-            "cash_value_share": shares["ch_atm"],
-            "withdrawal_count": F.col("cash_n"),
-            "avg_withdrawal_gel": F.coalesce(ratio(_gel(F.col("cash_sum")), F.col("cash_n")), F.lit(0.0))},
+            **{f"ch_{c}": _share(f"chan_{c}", listed) for c in CHANNELS},
+            "digital_value_share": _share(digital, listed),
+            "cash_value_share": _share("chan_atm", listed),
+            "withdrawal_count": "cash_n",
+            "avg_withdrawal_gel": f"coalesce({_ratio(_gel('cash_sum'), 'cash_n')}, 0D)"},
         present="debit_rows")
 
 
 def momentum_block(as_of: DateLike) -> Block:
-    date = F.col("txn_date")
-    recent = F.add_months(day(as_of), -RECENT_MONTHS)
-    prior = F.add_months(day(as_of), -2 * RECENT_MONTHS)
-    in_recent = _is_purchase() & (date >= recent)
-    in_prior = _is_purchase() & (date >= prior) & (date < recent)
+    recent = f"add_months(DATE '{as_of}', {-RECENT_MONTHS})"
+    prior = f"add_months(DATE '{as_of}', {-2 * RECENT_MONTHS})"
+    in_recent = f"{PURCHASE} AND txn_date >= {recent}"
+    in_prior = f"{PURCHASE} AND txn_date >= {prior} AND txn_date < {recent}"
     return Block(
-        rows=_is_purchase(),
+        rows=PURCHASE,
         measures={"recent_sum": _cents_if(in_recent), "prior_sum": _cents_if(in_prior),
-                  "recent_n": F.count_if(in_recent), "mom_rows": F.count_if(_is_purchase())},
+                  "recent_n": f"count_if({in_recent})", "mom_rows": f"count_if({PURCHASE})"},
         columns={
-            "spend_last_3m": _gel(F.col("recent_sum")), "spend_prior_3m": _gel(F.col("prior_sum")),
-            "txns_last_3m": F.col("recent_n"),
-            "spend_momentum": floored_ratio(_gel(F.col("recent_sum") - F.col("prior_sum")), _gel(F.col("prior_sum")))},
+            "spend_last_3m": _gel("recent_sum"), "spend_prior_3m": _gel("prior_sum"), "txns_last_3m": "recent_n",
+            "spend_momentum": _floored(_gel("(recent_sum - prior_sum)"), _gel("prior_sum"))},
         present="mom_rows")
 
 
 def customer_totals(txn: DataFrame, as_of: DateLike, blocks: list[Block]) -> DataFrame:
     """The measures of all ``blocks`` per customer, from one scan of the fact."""
     measures = {n: c for b in blocks for n, c in b.measures.items()}
-    return (
-        before(txn, "txn_date", as_of).where(any_of([b.rows for b in blocks]))
-        .groupBy(KEY).agg(*[c.alias(n) for n, c in measures.items()]))
+    rows = " OR ".join(f"({r})" for r in dict.fromkeys(b.rows for b in blocks))
+    return before(txn, "txn_date", as_of).where(rows).groupBy(KEY).agg(*_named(measures))
 
 
 def block_columns(block: Block) -> list[Column]:
     """The features of a block; NULL where the customer has no row of it."""
-    return [F.when(F.col(block.present) > 0, c).alias(n) for n, c in block.columns.items()]
+    return _named({n: f"CASE WHEN {block.present} > 0 THEN {c} END" for n, c in block.columns.items()})
 
 
 def _one_block(txn: DataFrame, as_of: DateLike, block: Block) -> DataFrame:
@@ -159,13 +159,13 @@ def median_ticket(txn: DataFrame, as_of: DateLike, accuracy: int = 10_000) -> Da
     A mergeable sketch of bounded size: exact up to ``accuracy`` rows per customer, within
     ``1/accuracy`` of the middle rank beyond.
     """
-    return before(txn, "txn_date", as_of).where(_is_purchase()).groupBy(KEY).agg(
-        F.percentile_approx("amount_gel", 0.5, accuracy).cast("double").alias("median_ticket_gel"))
+    return before(txn, "txn_date", as_of).where(PURCHASE).groupBy(KEY).agg(
+        F.expr(f"CAST(percentile_approx(amount_gel, 0.5D, {accuracy}) AS DOUBLE)").alias("median_ticket_gel"))
 
 
 def distinct_merchants(txn: DataFrame, as_of: DateLike) -> DataFrame:
     """Merchants each customer bought from: pairs are deduplicated first, then counted."""
-    pairs = before(txn, "txn_date", as_of).where(_is_purchase()).select(KEY, "merchant_sk").distinct()
+    pairs = before(txn, "txn_date", as_of).where(PURCHASE).select(KEY, "merchant_sk").distinct()
     return pairs.groupBy(KEY).agg(F.count("merchant_sk").alias("distinct_merchants"))
 
 
@@ -173,39 +173,35 @@ INCOME_COLUMNS = ("avg_monthly_inflow_gel", "inflow_volatility_gel", "months_wit
                   "min_monthly_inflow_gel", "inflow_cv")
 
 
-def monthly_pattern(txn: DataFrame, as_of: DateLike, rows: Column) -> DataFrame:
+def monthly_pattern(txn: DataFrame, as_of: DateLike, rows: str) -> DataFrame:
     """Months with a purchase, and level and regularity of the monthly inflow, per customer."""
-    months = before(txn, "txn_date", as_of).where(rows).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(
-        F.count_if(_is_purchase()).alias("p_n"), F.count_if(_is_inflow()).alias("in_n"),
-        _cents_if(_is_inflow()).alias("in_sum"))
-    inflow = F.when(F.col("in_n") > 0, F.col("in_sum"))
-    mean, sd = F.col("avg_monthly_inflow_gel"), F.col("inflow_volatility_gel")
-    return (
-        months.groupBy(KEY).agg(
-            F.count_if(F.col("p_n") > 0).alias("active_months"),
-            ratio(_gel(F.sum(inflow)), F.count(inflow)).alias("avg_monthly_inflow_gel"),
-            F.stddev_samp(_gel(inflow)).alias("inflow_volatility_gel"),
-            F.nullif(F.count(inflow), F.lit(0).cast("long")).alias("months_with_inflow"),
-            _gel(F.min(inflow)).alias("min_monthly_inflow_gel"))
-        .withColumn("inflow_cv", floored_ratio(F.coalesce(sd, F.when(mean.isNotNull(), 0.0)), mean)))
+    months = before(txn, "txn_date", as_of).where(rows).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(*_named({
+        "p_n": f"count_if({PURCHASE})",
+        # NULL in a month without any inflow, so that such a month counts in no statistic.
+        "inflow": f"sum(CASE WHEN {INFLOW} THEN {CENTS} END)"}))
+    return months.groupBy(KEY).agg(*_named({
+        "active_months": "count_if(p_n > 0)",
+        "avg_monthly_inflow_gel": _ratio(_gel("sum(inflow)"), "count(inflow)"),
+        "inflow_volatility_gel": f"stddev_samp({_gel('inflow')})",
+        "months_with_inflow": "nullif(count(inflow), 0L)",
+        "min_monthly_inflow_gel": _gel("min(inflow)"),
+    })).withColumn("inflow_cv", F.expr(
+        "CASE WHEN months_with_inflow > 0 THEN " + _floored("coalesce(inflow_volatility_gel, 0D)", "avg_monthly_inflow_gel") + " END"))
 
 
 TRANSACTION_COLUMNS = (
     "recency_days", "purchase_count", "total_spend_gel", "avg_ticket_gel", "ticket_volatility_gel", "median_ticket_gel",
     "max_ticket_gel", "distinct_merchants", "active_months", "weekend_txn_share", "purchases_per_active_month")
-
-
-def _per_active_month() -> Column:
-    return floored_ratio(F.col("purchase_count"), F.col("active_months"))
+PER_ACTIVE_MONTH = _floored("purchase_count", "active_months")
 
 
 def transaction_features(txn: DataFrame, as_of: DateLike) -> DataFrame:
     """Recency, volume, ticket size, breadth and timing of the purchases."""
     return (
         _one_block(txn, as_of, purchase_block(as_of))
-        .join(monthly_pattern(txn, as_of, _is_purchase()).select(KEY, "active_months"), KEY)
+        .join(monthly_pattern(txn, as_of, PURCHASE).select(KEY, "active_months"), KEY)
         .join(median_ticket(txn, as_of), KEY).join(distinct_merchants(txn, as_of), KEY)
-        .withColumn("purchases_per_active_month", _per_active_month())
+        .withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH))
         .select(KEY, *TRANSACTION_COLUMNS))
 
 
@@ -221,7 +217,7 @@ def channel_features(txn: DataFrame, as_of: DateLike) -> DataFrame:
 
 def income_features(txn: DataFrame, as_of: DateLike) -> DataFrame:
     """Level and regularity of the monthly inflow."""
-    return monthly_pattern(txn, as_of, _is_inflow()).select(KEY, *INCOME_COLUMNS)
+    return monthly_pattern(txn, as_of, INFLOW).select(KEY, *INCOME_COLUMNS)
 
 
 def momentum_features(txn: DataFrame, as_of: DateLike) -> DataFrame:
@@ -288,12 +284,12 @@ def feature_matrix(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, pr
     """
     blocks = [purchase_block(as_of), category_block(), channel_block(), momentum_block(as_of)]
     totals = customer_totals(txn, as_of, blocks).select(KEY, *[c for b in blocks for c in block_columns(b)])
-    months = monthly_pattern(txn, as_of, _is_purchase() | _is_inflow())
+    months = monthly_pattern(txn, as_of, f"{PURCHASE} OR {INFLOW}")
     out = customers.select(KEY, *[c for c in CUSTOMER_COLUMNS if c not in LABEL_DERIVED_COLUMNS])
     for part in (totals, months, median_ticket(txn, as_of), distinct_merchants(txn, as_of),
                  balance_features(snapshot, products, as_of), holding_features(snapshot, products, as_of)):
         out = out.join(part, KEY, "left")
-    return out.withColumn("purchases_per_active_month", _per_active_month()).na.fill(0)
+    return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)
 
 
 def feature_matrix_by_blocks(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, products: DataFrame,
@@ -315,12 +311,9 @@ def monthly_feature_snapshots(txn: DataFrame, as_of_months: list[DateLike]) -> D
     """
     dates = F.array(*[month_start(day(d)) for d in as_of_months])
     last = max(str(d) for d in as_of_months)
-    months = before(txn, "txn_date", last).where(_is_purchase()).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_cents()).alias("cents"), F.max(_cents()).alias("top"),
-        F.max("txn_date").alias("last"))
+    months = before(txn, "txn_date", last).where(PURCHASE).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(*_named({
+        "n": "count(1)", "cents": f"sum({CENTS})", "top": f"max({CENTS})", "last": "max(txn_date)"}))
     seen = months.select("*", F.explode(F.filter(dates, lambda d: d > F.col("month"))).alias("as_of"))
-    return seen.groupBy("as_of", KEY).agg(
-        F.datediff(F.col("as_of"), F.max("last")).alias("recency_days"),
-        F.sum("n").alias("purchase_count"), _gel(F.sum("cents")).alias("total_spend_gel"),
-        ratio(_gel(F.sum("cents")), F.sum("n")).alias("avg_ticket_gel"), _gel(F.max("top")).alias("max_ticket_gel"),
-        F.count(F.lit(1)).alias("active_months"))
+    return seen.groupBy("as_of", KEY).agg(*_named({
+        "recency_days": "datediff(as_of, max(last))", "purchase_count": "sum(n)", "total_spend_gel": _gel("sum(cents)"),
+        "avg_ticket_gel": _ratio(_gel("sum(cents)"), "sum(n)"), "max_ticket_gel": _gel("max(top)"), "active_months": "count(1)"}))

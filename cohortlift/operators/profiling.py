@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlift.functions.expressions import month_start, ratio, share_of_total
-from cohortlift.operators.ranking import quantiles
-
-ACCURACY = 10_000
+from cohortlift.operators.ranking import grouped_medians, quantiles
 
 
 def event_mix(df: DataFrame, kind: str) -> DataFrame:
@@ -63,13 +61,13 @@ def avg_ticket_by_category(txn: DataFrame) -> DataFrame:
         ratio(F.sum(x), F.count(x)).alias("avg_ticket_gel")).orderBy(F.desc("avg_ticket_gel"), "mcc_category")
 
 
-def balance_by_group(balances: DataFrame, attributes: DataFrame, group: str, accuracy: int = ACCURACY) -> DataFrame:
-    """Mean, median and deviation of the balances of each customer group."""
+def balance_by_group(balances: DataFrame, attributes: DataFrame, group: str) -> DataFrame:
+    """Mean, exact median and deviation of the balances of each customer group."""
     x = F.col("balance_gel")
-    joined = balances.join(attributes.select("customer_sk", group), "customer_sk")
-    return joined.groupBy(group).agg(
-        ratio(F.sum(x), F.count(x)).alias("mean"), F.percentile_approx(x, 0.5, accuracy).cast("double").alias("median"),
-        F.stddev_samp(x.cast("double")).alias("sd"))
+    joined = balances.join(attributes.select("customer_sk", group), "customer_sk").select(group, "balance_gel")
+    spread = joined.groupBy(group).agg(
+        ratio(F.sum(x), F.count(x)).alias("mean"), F.stddev_samp(x.cast("double")).alias("sd"))
+    return spread.join(grouped_medians(joined, group, "balance_gel"), group)
 
 
 def balance_path(snapshot: DataFrame, products: list[int]) -> DataFrame:

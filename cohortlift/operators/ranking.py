@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -189,32 +191,40 @@ def ntile_global(df: DataFrame, score: str, tiles: int, key: str, descending: bo
     return add_ntiles(df, key, [Tile(score, tiles, out, descending)], resolution, small)
 
 
-def _values_at(df: DataFrame, measure: str, ranks: list[int], rows: int, resolution: int, small: int) -> dict[int, object]:
-    """The values at 0-based ``ranks`` of the non-null ``measure``, by narrowing to one cell after another."""
-    x = F.col(measure)
+def _sketched(df: DataFrame, resolution: int) -> tuple[int, list[float]]:
+    """Number of values ``x`` and cut values that split them into about ``resolution`` parts."""
+    cuts = F.percentile_approx("x", _shares(resolution), 10 * resolution)
+    row = df.agg(F.count("x").alias("n"), cuts.alias("cuts")).first()
+    return row["n"], row["cuts"] or []
+
+
+def _values_at(df: DataFrame, ranks: list[int], rows: int, cuts: list[float] | None, resolution: int,
+               small: int) -> dict[int, float]:
+    """The values ``x`` at 0-based ``ranks``, by narrowing to one cell after another.
+
+    Cell 2i holds the rows equal to cut i, cell 2i + 1 those between it and the next.
+    """
+    x = F.col("x")
     if rows <= small:
-        counts = df.groupBy(x.alias("x")).agg(F.count(F.lit(1)).alias("n"))
+        counts = df.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
         upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("x")))
         hits = upto.where(any_of([(F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for r in ranks])).collect()
         return {r: h["x"] for r in ranks for h in hits if h["upto"] > r >= h["upto"] - h["n"]}
-    cuts = df.agg(F.percentile_approx(x, _shares(resolution), 10 * resolution).alias("c")).first()["c"]
-    distinct, kind = sorted(set(cuts)), df.schema[measure].dataType
-    cell = 2 * _cuts_below(x, distinct, kind) + F.array_contains(_literals(distinct, kind), x).cast("int")
-    counted = sorted((r["cell"], r["n"]) for r in df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect())
-    found: dict[int, object] = {}
+    edges = [-math.inf, *sorted(set(cuts or _sketched(df, resolution)[1])), math.inf]
+    bucketed = Bucketizer(splits=edges, inputCol="x", outputCol="at").transform(df)
+    at_cut = F.element_at(_literals(edges[:-1], DoubleType()), F.col("at").cast("int") + 1) == x
+    cells = bucketed.select((2 * F.col("at").cast("int") + F.when(at_cut, 0).otherwise(1)).alias("cell"))
+    counted = sorted((r["cell"], r["n"]) for r in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect())
+    found: dict[int, float] = {}
     passed = 0
-    for at, n in counted:
+    for cell, n in counted:
         inside = [r for r in ranks if passed <= r < passed + n]
-        if inside and at % 2:
-            found |= dict.fromkeys(inside, distinct[at // 2])
+        low, high = edges[cell // 2], edges[cell // 2 + 1]
+        if inside and cell % 2 == 0:
+            found |= dict.fromkeys(inside, low)
         elif inside:
-            low, high = at // 2 - 1, at // 2
-            part = df
-            if low >= 0:
-                part = part.where(x > F.lit(distinct[low]))
-            if high < len(distinct):
-                part = part.where(x < F.lit(distinct[high]))
-            deeper = _values_at(part, measure, [r - passed for r in inside], n, resolution, small)
+            part = df.where((x > F.lit(low)) & (x < F.lit(high)))
+            deeper = _values_at(part, [r - passed for r in inside], n, None, resolution, small)
             found |= {r + passed: v for r, v in deeper.items()}
         passed += n
     return found
@@ -222,17 +232,52 @@ def _values_at(df: DataFrame, measure: str, ranks: list[int], rows: int, resolut
 
 def quantiles(df: DataFrame, measure: str, probabilities: list[float], resolution: int = 256,
               small: int = SMALL) -> list[float | None]:
-    """Exact quantiles of a measure, interpolated between neighbours, at any number of rows.
+    """Exact quantiles of a measure (as doubles), interpolated between neighbours, at any number of rows.
 
     Cells between sketched cut values are counted and only the cell that holds a wanted rank is
     looked into, again and again until it has at most ``small`` rows. Values met at a cut are
-    their own cell, so ties end the search instead of prolonging it.
+    their own cell, so ties end the search instead of prolonging it. Each pass reads ``df``.
     """
-    present = df.where(F.col(measure).isNotNull()).select(measure)
-    rows = present.count()
+    present = df.select(F.col(measure).cast("double").alias("x")).where("x IS NOT NULL")
+    rows, cuts = _sketched(present, resolution)
     if rows == 0:
         return [None] * len(probabilities)
     spots = [(p * (rows - 1)) for p in probabilities]
     ranks = sorted({r for s in spots for r in (int(s), min(int(s) + 1, rows - 1))})
-    at = {r: float(v) for r, v in _values_at(present, measure, ranks, rows, resolution, small).items()}
+    at = _values_at(present, ranks, rows, cuts, resolution, small)
     return [at[int(s)] + (s - int(s)) * (at[min(int(s) + 1, rows - 1)] - at[int(s)]) for s in spots]
+
+
+def grouped_medians(df: DataFrame, group: str, measure: str, out: str = "median", resolution: int = 64) -> DataFrame:
+    """Exact median of every group (mean of the two middle values of an even number), lazily.
+
+    Equal values are counted first. Sketched cut values of each group split it into cells; the
+    cells around the middle are found from the rows per cell, and only their values are ordered.
+    Values met at a cut are a cell of their own.
+    """
+    x = F.col(measure)
+    present = df.where(x.isNotNull() & F.col(group).isNotNull()).groupBy(group, measure).agg(F.count(F.lit(1)).alias("n"))
+    cuts = df.groupBy(group).agg(
+        F.array_sort(F.array_distinct(F.percentile_approx(x, _shares(resolution), 10 * resolution))).alias("cuts"))
+    stride = 8
+    coarse = F.filter("cuts", lambda c, i: (i + 1) % stride == 0)
+    passed = F.size(F.filter("coarse", lambda c: c < x)) * stride
+    placed = present.join(cuts.withColumn("coarse", coarse), group).withColumn("passed", passed).select(
+        group, measure, "n", (
+            2 * (F.col("passed") + F.size(F.filter(F.slice("cuts", F.col("passed") + 1, F.lit(stride)), lambda c: c < x)))
+            + F.array_contains("cuts", x).cast("int")).alias("cell"))
+    # One row per cell: at most twice ``resolution`` rows per group in the window.
+    upto = Window.partitionBy(group).orderBy("cell")
+    sizes = placed.groupBy(group, "cell").agg(F.sum("n").alias("n")).select(
+        group, "cell", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(Window.partitionBy(group)).alias("rows"))
+    low, high = F.floor((F.col("rows") + 1) / 2), F.floor(F.col("rows") / 2) + 1
+    middle = sizes.where((F.col("upto") >= low) & (F.col("upto") - F.col("n") < high)).select(
+        group, "cell", (F.col("upto") - F.col("n")).alias("before"), low.alias("low"), high.alias("high"))
+    inside = Window.partitionBy(group, "cell").orderBy(measure)
+    ranked = placed.join(middle, [group, "cell"]).withColumn("last", F.col("before") + F.sum("n").over(inside))
+    first = F.col("last") - F.col("n") + 1
+
+    def at(rank: str) -> Column:
+        return F.max(F.when((first <= F.col(rank)) & (F.col("last") >= F.col(rank)), x.cast("double")))
+
+    return ranked.groupBy(group).agg(((at("low") + at("high")) / 2).alias(out))

@@ -1,10 +1,11 @@
 import random
+import statistics
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cohortlift.operators.ranking import Tile, _cuts_below, add_ntiles, ntile_global, quantiles
+from cohortlift.operators.ranking import Tile, _cuts_below, add_ntiles, grouped_medians, ntile_global, quantiles
 from pyspark.sql.types import LongType
 
 
@@ -94,3 +95,12 @@ def test_quantiles_equal_sorting(spark, values):
 
 def test_quantiles_of_nothing(spark):
     assert quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5]) == [None]
+
+
+def test_grouped_medians(spark):
+    rng = random.Random(5)
+    values = {"wide": [rng.random() for _ in range(2000)], "ties": [1.0] * 301 + [2.0] * 300, "even": [1.0, 4.0], "one": [3.0],
+              "half": [5.0] * 4 + [9.0] * 4}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs] + [("none", None)], "g string, x double").repartition(7)
+    got = {r["g"]: r["median"] for r in grouped_medians(df, "g", "x", resolution=8).collect()}
+    assert got == pytest.approx({g: statistics.median(vs) for g, vs in values.items()})

@@ -408,7 +408,7 @@ SQL["amount_distribution"] = with_star(f"""
 SQL["avg_ticket_by_category"] = with_star(
     f"SELECT mcc_category, {_mean('amount_gel')} AS avg_ticket_gel FROM txn WHERE txn_type = 'purchase' GROUP BY 1", "txn")
 SQL["balance_by_group"] = with_star(f"""
-    SELECT persona, {_mean('balance_gel')} AS mean, {_d('quantile_disc(balance_gel, 0.5)')} AS median, round(stddev_samp({_d('balance_gel')}), 4) AS sd
+    SELECT persona, {_mean('balance_gel')} AS mean, quantile_cont({_d('balance_gel')}, 0.5) AS median, round(stddev_samp({_d('balance_gel')}), 4) AS sd
     FROM snap JOIN persona USING (customer_sk) WHERE product_sk = 1 GROUP BY persona""", "snap", "persona")
 SQL["balance_path"] = with_star("SELECT customer_sk, month_end_date, " + ", ".join(
     f"{_d(f'max(balance_gel) FILTER (WHERE product_sk = {p})')} AS product_{p}" for p in range(1, 7)) + " FROM snap GROUP BY 1, 2", "snap")

@@ -12,6 +12,7 @@ from cohortlift.operators import (
     campaign, evaluation, features, ledger, profiles, profiling, quality, ranking, rfm, segmentation, uplift,
 )
 from cohortlift.schema import CATEGORIES, CHANNELS
+from cohortlift.session import materialise
 from cohortlift.sources.adapter import AS_OF, SNAPSHOT_MONTHS, SNAPSHOT_START, TestStar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,7 +67,7 @@ def ntile_global(s):
     base = rfm.rfm_base(s.fact_transaction, AS_OF).select("customer_sk", "monetary_gel", "frequency")
     tiles = [ranking.Tile("monetary_gel", 5, "spend_tile"), ranking.Tile("frequency", 7, "frequency_tile", descending=True)]
     # No row is few enough for the plain window here, so this query runs the distributed form.
-    tiled = ranking.add_ntiles(rfm.materialise(base), "customer_sk", tiles, small=-1)
+    tiled = ranking.add_ntiles(materialise(base), "customer_sk", tiles, small=-1)
     return tiled.select("customer_sk", "spend_tile", "frequency_tile")
 
 
@@ -362,7 +363,7 @@ def campaign_summary(s):
 @query
 def value_index(s):
     spend = rfm.rfm_base(s.fact_transaction, AS_OF).select("customer_sk", "monetary_gel")
-    return campaign.value_index(rfm.materialise(spend), "monetary_gel").select("customer_sk", "value_index")
+    return campaign.value_index(materialise(spend), "monetary_gel").select("customer_sk", "value_index")
 
 
 # ---- distributions ----------------------------------------------------------------------------
@@ -400,7 +401,7 @@ def mix_crosstab(s):
 
 @query
 def amount_distribution(s):
-    return rounded(profiling.amount_distribution(_purchases(s), "amount_gel"), {"median": 6, "p95": 6})
+    return rounded(profiling.amount_distribution(materialise(_purchases(s).select("amount_gel")), "amount_gel"), {"median": 6, "p95": 6})
 
 
 @query
@@ -453,7 +454,7 @@ def _scores(s):
 
 
 def _bins(s):
-    return uplift.rank_bins(rfm.materialise(_scores(s)), "score", 20)
+    return uplift.rank_bins(materialise(_scores(s)), "score", 20)
 
 
 @query
