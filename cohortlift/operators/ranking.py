@@ -238,7 +238,7 @@ def quantiles(df: DataFrame, measure: str, probabilities: list[float], resolutio
     looked into, again and again until it has at most ``small`` rows. Values met at a cut are
     their own cell, so ties end the search instead of prolonging it. Each pass reads ``df``.
     """
-    present = df.select(F.col(measure).cast("double").alias("x")).where("x IS NOT NULL")
+    present = df.select(F.col(measure).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
     rows, cuts = _sketched(present, resolution)
     if rows == 0:
         return [None] * len(probabilities)

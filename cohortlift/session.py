@@ -62,4 +62,13 @@ def materialise(df: DataFrame) -> DataFrame:
         return df
     path = f"{root}/cohortlift/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # The table is needed as long as frames built on it are: it goes when the driver ends.
+    jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate puts ``df`` under the session's broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortlift.functions.expressions import date_key, day, hash_slot
 from cohortlift.operators import campaign, dimensions, ledger
 from cohortlift.schema import CATEGORIES, EMPLOYMENTS, NO_CATEGORY
+from cohortlift.session import fits_broadcast, materialise
 
 AS_OF = dt.date(2001, 1, 1)
 SNAPSHOT_START = dt.date(2000, 2, 1)
@@ -77,6 +78,17 @@ class TestStar:
             F.when(is_purchase, _pick(CATEGORIES, F.col("l_suppkey") % 10)).otherwise(NO_CATEGORY).alias("mcc_category"),
             "amount_gel")
 
+    @cached_property
+    def stored_transactions(self) -> DataFrame:
+        """The transaction fact for queries that scan it several times.
+
+        Deriving it joins the two largest test tables. Where the orders are small enough to be
+        broadcast that costs no shuffle and every scan may repeat it; otherwise the joined fact
+        is stored once and the scans read that.
+        """
+        small = fits_broadcast(self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
+        return self.fact_transaction if small else materialise(self.fact_transaction)
+
     @cached_property
     def holdings(self) -> DataFrame:
         """One row per customer and held product, with the month it was opened (-1: before)."""
@@ -185,10 +197,12 @@ class TestStar:
             p0.alias("true_p0"), tau.alias("true_tau"),
             F.least(F.greatest(p0 + tau, F.lit(0.0)), F.lit(1.0)).alias("true_p1"))
 
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self, stored: bool = False) -> dict[str, DataFrame]:
+        """All star tables by name; ``stored`` takes the transaction fact from its stored form."""
         names = ("dim_date", "dim_customer", "dim_product", "dim_merchant", "dim_campaign",
                  "fact_transaction", "fact_account_monthly", "fact_campaign_response")
-        return {name: getattr(self, name) for name in names}
+        found = {name: getattr(self, name) for name in names}
+        return {**found, "fact_transaction": self.stored_transactions} if stored else found
 
 
 def _pick_double(values: tuple[float, ...], index: Column) -> Column:

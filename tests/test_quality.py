@@ -84,6 +84,14 @@ def test_constraints(clean):
     assert kinds["primary"] + kinds["unique"] == len(KEYS) - 1
 
 
+def test_orphans_are_counted_per_reference(clean):
+    tables = broken(clean, "transactions_outside_window")
+    report = {(r["table_name"], r["rule"]): r["violations"] for r in quality.fk_report(tables).collect()}
+    assert report.pop(("fact_transaction", "date_sk -> dim_date")) == 1 and set(report.values()) == {0}
+    one = quality.check_fk(tables["fact_transaction"], tables["dim_date"], next(r for r in REFERENCES if r.column == "date_sk"))
+    assert one.first()["violations"] == 1
+
+
 def test_null_rule_passes_and_false_rule_counts(spark):
     df = spark.createDataFrame([(1,), (None,), (-1,)], "x int")
     assert quality.check_expr(df, "t", [Rule("t", "positive", "x > 0")]).first()["violations"] == 1

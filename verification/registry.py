@@ -103,7 +103,7 @@ def _steady(df: DataFrame) -> DataFrame:
 
 @query
 def transaction_features(s):
-    return _steady(features.transaction_features(s.fact_transaction, AS_OF))
+    return _steady(features.transaction_features(s.stored_transactions, AS_OF))
 
 
 @query
@@ -137,7 +137,12 @@ def holding_features(s):
 
 
 def _matrix(s):
-    return features.feature_matrix(s.fact_transaction, s.fact_account_monthly, s.dim_customer, s.dim_product, AS_OF)
+    return features.feature_matrix(s.stored_transactions, s.fact_account_monthly, s.dim_customer, s.dim_product, AS_OF)
+
+
+def _stored_matrix(s):
+    """The matrix as the iterative models read it: stored, not recomputed by every pass."""
+    return materialise(_matrix(s))
 
 
 @query
@@ -208,7 +213,7 @@ def rule_report(s):
 
 @query
 def dq_suite(s):
-    return quality.dq_suite(s.tables())
+    return quality.dq_suite(s.tables(stored=True))
 
 
 @query
@@ -484,22 +489,22 @@ def budget_table(s):
 
 @query
 def choose_k(s):
-    return segmentation.choose_k(_matrix(s), SEGMENT_COLUMNS, [2, 3, 4, 5, 6, 7])
+    return segmentation.choose_k(_stored_matrix(s), SEGMENT_COLUMNS, [2, 3, 4, 5, 6, 7])
 
 
 @query
 def segment_customers(s):
-    return segmentation.segment_customers(_matrix(s), SEGMENT_COLUMNS, 6)
+    return segmentation.segment_customers(_stored_matrix(s), SEGMENT_COLUMNS, 6)
 
 
 @query
 def uplift_scores(s):
-    return uplift.uplift_scores(_matrix(s), s.fact_campaign_response, SEGMENT_COLUMNS)
+    return uplift.uplift_scores(_stored_matrix(s), s.fact_campaign_response, SEGMENT_COLUMNS)
 
 
 @query
 def equal_budget_comparison(s):
-    scores = uplift.uplift_scores(_matrix(s), s.fact_campaign_response, SEGMENT_COLUMNS)
+    scores = uplift.uplift_scores(_stored_matrix(s), s.fact_campaign_response, SEGMENT_COLUMNS)
     return uplift.equal_budget_comparison(scores, s.fact_campaign_response, 0.3)
 
 
