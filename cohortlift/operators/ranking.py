@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections import Counter
 from dataclasses import dataclass
@@ -9,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, BooleanType, DateType, DecimalType, DoubleType, LongType
 
 from cohortlift.functions.expressions import any_of
 
@@ -52,6 +53,62 @@ def _cuts_below(x: Column, cuts: list, data_type, stride: int = 16) -> Column:
     return passed + F.size(F.filter(rest, lambda c: c < x))
 
 
+EXACT_LONG = 2 ** 53  # integers up to here are doubles
+
+
+def _magnitude(column: str, data_type) -> Column:
+    """The largest size of a column's values in units of their last digit; NULL where doubles hold every value."""
+    if isinstance(data_type, LongType):
+        return F.max(F.abs(F.col(column).cast("decimal(20,0)")))
+    if isinstance(data_type, DecimalType):
+        return F.max(F.abs(F.col(column).cast("double"))) * float(10 ** data_type.scale)
+    return F.lit(None).cast("double")
+
+
+def _number(value) -> float:
+    return float((value - dt.date(1970, 1, 1)).days) if isinstance(value, dt.date) else float(value)
+
+
+class _Cuts:
+    """The position of a column among sorted cut values.
+
+    ``below`` counts the cuts less than the value, ``on_heavy`` tells whether it equals a cut
+    that was met more than once. Where doubles hold every value, Bucketizer finds the place by
+    binary search; larger longs and decimals are compared in their own type.
+    """
+
+    def __init__(self, column: str, data_type, cuts: list, as_doubles: bool):
+        self.column, self.values = column, sorted(v for v in set(cuts) if v == v)
+        met = Counter(cuts)
+        heavy = [met[v] > 1 for v in self.values]
+        self.bucket = f"_at_{column}" if as_doubles and self.values else None
+        self.data_type = data_type
+        x = F.col(column)
+        if self.bucket:
+            self.edges = [-math.inf, *map(_number, self.values), math.inf]
+            # Bucket j starts at edge j, which belongs to it; missing and NaN get none or the last.
+            at = F.least(F.col(self.bucket).cast("int"), F.lit(len(self.values)))
+            equal = F.element_at(_literals(self.edges, DoubleType()), at + 1) == self._as_double()
+            self.below = at - equal.cast("int")
+            self.on_heavy = equal & F.element_at(_literals([False, *heavy], BooleanType()), at + 1)
+        else:
+            self.below = _cuts_below(x, self.values, data_type)
+            several = [v for v, h in zip(self.values, heavy) if h]
+            self.on_heavy = F.array_contains(_literals(several, data_type), x) if several else F.lit(False)
+
+    def _as_double(self) -> Column:
+        x = F.col(self.column)
+        return (F.unix_date(x) if isinstance(self.data_type, DateType) else x).cast("double")
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """``df`` with what the expressions of this object refer to."""
+        if not self.bucket:
+            return df
+        source = self.bucket + "_x"
+        found = Bucketizer(splits=self.edges, inputCol=source, outputCol=self.bucket, handleInvalid="keep")
+        return found.transform(df.withColumn(source, self._as_double())).drop(source)
+
+
 class _Cells:
     """Order-preserving cells of one score: the open gaps between cut values, and heavy values alone.
 
@@ -59,14 +116,10 @@ class _Cells:
     cuts of the key, so that no tie, however common, ends up in one cell.
     """
 
-    def __init__(self, tile: Tile, data_type, cuts: list, key: str, key_type, key_cuts: list):
-        score = F.col(tile.score)
-        distinct = sorted(set(cuts))
-        heavy = sorted({v for v, n in Counter(cuts).items() if n > 1})
-        is_heavy = F.array_contains(_literals(heavy, data_type), score) if heavy else F.lit(False)
-        self.cell = F.when(score.isNull(), 2 * len(distinct) + 1).otherwise(
-            2 * _cuts_below(score, distinct, data_type) + is_heavy.cast("int"))
-        self.part = F.when(score.isNull() | is_heavy, _cuts_below(F.col(key), key_cuts, key_type)).otherwise(0)
+    def __init__(self, score: _Cuts, key: _Cuts):
+        missing = F.col(score.column).isNull()
+        self.cell = F.when(missing, 2 * len(score.values) + 1).otherwise(2 * score.below + score.on_heavy.cast("int"))
+        self.part = F.when(missing | score.on_heavy, key.below).otherwise(0)
 
 
 def _beyond(tile: Tile, key: str, score_bound, key_bound) -> Column:
@@ -103,18 +156,21 @@ def add_ntiles(df: DataFrame, key: str, tiles: list[Tile], resolution: int = 256
     if df.count() <= small:
         return df.withColumns({
             t.out: F.ntile(t.tiles).over(Window.orderBy(_order(t, t.score), F.col(key))) for t in tiles})
+    types = {f.name: f.dataType for f in df.schema}
+    columns = list(dict.fromkeys([key, *(t.score for t in tiles)]))
     share = _shares(resolution)
-    names = [f"cuts_{i}" for i in range(len(tiles))]
-    sketch = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.percentile_approx(key, share, 10 * resolution).alias("key_cuts"),
-        *[F.percentile_approx(t.score, share, 10 * resolution).alias(n) for t, n in zip(tiles, names)]).first()
+    sketch = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        e for i, c in enumerate(columns) for e in (
+            F.percentile_approx(c, share, 10 * resolution).alias(f"cuts_{i}"), _magnitude(c, types[c]).alias(f"size_{i}"))]).first()
     rows = sketch["rows"]
-    types = {f.name: f.dataType for f in df.schema}
-    key_cuts = sorted(set(sketch["key_cuts"] or []))
-    cells = [_Cells(t, types[t.score], sketch[n] or [], key, types[key], key_cuts) for t, n in zip(tiles, names)]
-    ends = _ends(df, tiles, cells, rows)
+    cuts = {c: _Cuts(c, types[c], sketch[f"cuts_{i}"] or [], (sketch[f"size_{i}"] or 0) <= EXACT_LONG) for i, c in enumerate(columns)}
+    cells = [_Cells(cuts[t.score], cuts[key]) for t in tiles]
+    placed = df
+    for c in cuts.values():
+        placed = c.place(placed)
+    ends = _ends(placed, tiles, cells, rows)
     bounds: dict[int, list] = {i: [] for i in range(len(tiles))}
-    found = _rows_at(df, key, tiles, cells, ends)
+    found = _rows_at(placed, key, tiles, cells, ends)
     if found is not None:
         for r in found.collect():
             bounds[r["spec"]].append((r["key"], r[f"score_{r['spec']}"]))
@@ -171,10 +227,11 @@ def _rows_at(df: DataFrame, key: str, tiles: list[Tile], cells: list[_Cells], en
         mine = [e for e in ends if e[0] == i]
         if not mine:
             continue
+        # Generated columns: computed once per row, where a filter on plain ones would repeat them.
+        position = F.inline(F.array(F.struct(cells[i].cell.alias("cell"), cells[i].part.alias("part"))))
         here = df.select(
             F.lit(i).alias("spec"), F.col(key).alias("key"), *[F.col(t.score).alias(f"score_{j}") for j, t in enumerate(tiles)],
-            cells[i].cell.alias("cell"), cells[i].part.alias("part"),
-            F.col(spec.score).alias("_score"))
+            F.col(spec.score).alias("_score"), position)
         here = here.where(any_of([(F.col("cell") == c) & (F.col("part") == p) for _, c, p, _ in mine]))
         inside = Window.partitionBy("cell", "part").orderBy(_order(spec, "_score"), F.col("key"))
         ranked = here.withColumn("rn", F.row_number().over(inside))

@@ -67,6 +67,21 @@ def test_two_scores_of_different_types(spark):
     assert got.exceptAll(windowed).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["bigint", "decimal(30,4)"])
+def test_scores_beyond_doubles(spark, kind):
+    """Neighbours that are one double; every third value is common."""
+    rows = [(k, 2**60 + (5 if k % 3 == 0 else k * 7919 % 1000)) for k in range(1500)]
+    df = spark.createDataFrame(rows, "k long, s long").select("k", F.col("s").cast(kind).alias("s")).repartition(5)
+    got = tiles_of(add_ntiles(df, "k", [Tile("s", 5, "tile")], resolution=32, small=-1))
+    assert got == expected(rows, 5, False)
+
+
+def test_nan_is_largest(spark):
+    df = spark.createDataFrame([(k, float("nan") if k % 3 == 0 else float(k)) for k in range(300)], "k long, s double")
+    got = tiles_of(add_ntiles(df, "k", [Tile("s", 3, "tile")], resolution=16, small=-1))
+    assert all(got[k] == 3 for k in range(0, 300, 3)) and {got[k] for k in range(300) if k % 3} == {1, 2}
+
+
 def test_empty(spark):
     df = spark.range(0).select(F.col("id").alias("k"), F.col("id").alias("s"))
     assert ntile_global(df, "s", 5, "k", small=-1).count() == 0
