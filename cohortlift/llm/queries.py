@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlift.llm import decontamination, mixing, quality, secret_scan, simhash
+from cohortlift.llm import decontamination, licenses, mixing, quality, secret_scan, simhash, substrings, toxicity, urls, warc
 from cohortlift.llm.common import read
 
 
@@ -17,7 +17,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "positions")
+    return mixing.mixed(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,28 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(read(spark, sf_dir, "pages"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(read(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_mixing, op4_decontamination, op5_secrets, op6_quality)
+    f.__name__: f
+    for f in (
+        op1_simhash, op2_substrings, op3_mixing, op4_decontamination, op5_secrets, op6_quality, op7_warc, op8_urls, op9_licenses, op10_toxicity)
 }
