@@ -90,43 +90,57 @@ def votes() -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class VoteModel:
-    """Share of good documents and, for each rule, class (bad, good) and vote (-1, 0, 1), the probability of that vote."""
+    """Kinds of documents: the good first, then for each rule a kind of bad ones that it stands for. shares: of each kind; bad_votes: for each kind
+    and rule the probability of a vote of bad, given that the rule votes. A rule's accuracy on good documents is 1 less its first entry."""
 
-    good: float
-    votes: dict[str, tuple[tuple[float, float, float], tuple[float, float, float]]]
+    names: tuple[str, ...]
+    shares: tuple[float, ...]
+    bad_votes: tuple[tuple[float, ...], ...]
 
     def posterior(self) -> Column:
-        """Probability of a good document, over columns named as the rules."""
-        odds = F.lit(math.log(self.good / (1 - self.good)))
-        for name, (bad, good) in self.votes.items():
-            weights = [math.log(g / b) for b, g in zip(bad, good, strict=True)]
-            odds = odds + F.element_at(F.array(*map(F.lit, weights)), (F.col(f"vote_{name}") + 2).cast("int"))
-        return 1 / (1 + F.exp(-odds))
-
-
-def expectation_maximisation(patterns: np.ndarray, n: np.ndarray, names: list[str], rounds: int = 200, tolerance: float = 1e-7) -> VoteModel:
+        """Probability of a good document, over columns vote_<rule>; a rule that abstains says nothing."""
+        odds = []
+        for share, rates in zip(self.shares[1:], self.bad_votes[1:], strict=True):
+            against = F.lit(math.log(share / self.shares[0]))
+            for name, good, bad in zip(self.names, self.bad_votes[0], rates, strict=True):
+                vote = F.col(f"vote_{name}")
+                against = against + F.when(vote < 0, math.log(bad / good)).when(vote > 0, math.log((1 - bad) / (1 - good))).otherwise(0.0)
+            odds.append(F.exp(F.least(against, F.lit(500.0))))
+        return 1 / (1 + sum(odds[1:], odds[0]))
+
+
+def expectation_maximisation(patterns: np.ndarray, n: np.ndarray, names: list[str], error: float = 0.001, rounds: int = 500, tolerance: float = 1e-8) -> VoteModel:
     """patterns (m, rules) of votes with their numbers of documents.
 
-    Starts from the share of bad votes, one of which makes a document bad more likely than not, and keeps a weak prior that a rule is better
-    than chance, so that the classes can't change places and an empty or one-sided corpus has a defined model. It ends when no parameter moves.
+    Bad documents are bad in different ways, and one kind of fault says nothing about the others, so each rule has a kind of its own beside the good
+    documents; how surely it votes on its kind, on good ones and on the other kinds is what is estimated. Abstentions are missing votes, so what
+    a rule can't judge (short texts, say) makes no kind. It starts from the bad votes. A rule that is wrong on some good documents and one that is
+    right on a kind of its own look alike if it goes with no other rule; the prior decides: as many documents as there are say that a rule is
+    wrong on `error` of the good ones. A weak prior stands for a few documents of each other kind, so an empty or one-sided corpus has a
+    defined model. It ends when no parameter moves.
     """
-    prior = np.tile(np.array([[4.0, 4.0, 2.0], [0.5, 4.0, 8.0]]), (len(names), 1, 1))
-    bad_votes = (patterns == -1).sum(1)
-    p = np.where(bad_votes == 0, 0.95, 0.3 ** bad_votes)
+    rules = len(names)
+    said_bad, said = (patterns == -1).astype(float), (patterns != 0).astype(float)
+    bad_votes = said_bad.sum(1, keepdims=True)
+    none = bad_votes == 0
+    p = np.concatenate((np.where(none, 0.98, 0.1), np.where(none, 0.02 / rules, 0.9 * said_bad / np.maximum(bad_votes, 1))), 1)
+    own = np.concatenate((np.zeros((1, rules)), np.eye(rules)))
+    prior_bad, prior = np.where(own > 0, 8.0, 0.5), np.where(own > 0, 9.0, 10.0)
+    prior_bad[0], prior[0] = error * (n.sum() + 50), n.sum() + 50
     last = np.zeros(1)
     for _ in range(rounds):
-        mass = np.stack((n * (1 - p), n * p))
-        good = (mass[1].sum() + 8) / (mass.sum() + 10)
-        table = prior + np.stack([[[mass[c][patterns[:, r] == v].sum() for v in (-1, 0, 1)] for c in (0, 1)] for r in range(len(names))])
-        table /= table.sum(2, keepdims=True)
-        logs = np.log(table)
-        like = np.stack([sum(logs[r, c, patterns[:, r] + 1] for r in range(len(names))) for c in (0, 1)]) if len(n) else np.zeros((2, 0))
-        p = 1 / (1 + np.exp(np.clip(like[0] - like[1] + math.log((1 - good) / good), -500, 500)))
-        now = np.r_[good, table.ravel()]
+        mass = n[:, None] * p
+        shares = mass.sum(0) + np.r_[8.0, np.full(rules, 0.2)]
+        shares /= shares.sum()
+        rate = (mass.T @ said_bad + prior_bad) / (mass.T @ said + prior)
+        logs = np.log(shares) + said_bad @ np.log(rate).T + (said - said_bad) @ np.log(1 - rate).T
+        p = np.exp(logs - logs.max(1, keepdims=True)) if len(n) else logs
+        p /= p.sum(1, keepdims=True)
+        now = np.r_[shares, rate.ravel()]
         if now.shape == last.shape and np.abs(now - last).max() < tolerance:
             break
         last = now
-    return VoteModel(float(good), {name: tuple(tuple(float(x) for x in row) for row in table[r]) for r, name in enumerate(names)})
+    return VoteModel(tuple(names), tuple(shares.tolist()), tuple(tuple(r) for r in rate.tolist()))
 
 
 def fitted(voted: DataFrame) -> VoteModel:

@@ -27,8 +27,8 @@ class Settings:
     buckets: int = 1 << 17
     dimensions: int = 8
     shortest: int = 3
-    longest: int = 6
-    passage: int = 12
+    longest: int = 5
+    passage: int = 8
     mean_rounds: int = 60
     rounds: int = 200
     rate: float = 1.0
