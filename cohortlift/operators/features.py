@@ -307,8 +307,11 @@ def monthly_feature_snapshots(txn: DataFrame, as_of_months: list[DateLike]) -> D
     """Purchase features as seen at the start of several months, one row per customer and month.
 
     The fact is read once and reduced to customer and month; each of those rows then counts
-    towards every later date, so only the reduced rows are multiplied.
+    towards every later date, so only the reduced rows are multiplied. Dates other than the first
+    of a month are refused.
     """
+    if odd := [str(d) for d in as_of_months if not str(d).endswith("-01")]:
+        raise ValueError(f"not the first of a month: {odd}")
     dates = F.array(*[month_start(day(d)) for d in as_of_months])
     last = max(str(d) for d in as_of_months)
     months = before(txn, "txn_date", last).where(PURCHASE).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(*_named({

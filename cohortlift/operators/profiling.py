@@ -15,9 +15,9 @@ def event_mix(df: DataFrame, kind: str) -> DataFrame:
 
 
 def share_vs_expected(df: DataFrame, group: str, expected: DataFrame) -> DataFrame:
-    """Realised share of each group beside the expected one (``group``, ``expected_share``)."""
+    """Realised share of each group beside the expected one (``group``, ``expected_share``); a group on one side only has 0 on the other."""
     actual = event_mix(df, group).select(group, F.col("share").alias("actual_share"))
-    out = expected.join(actual, group, "left").na.fill({"actual_share": 0.0})
+    out = expected.join(actual, group, "full").na.fill({"actual_share": 0.0, "expected_share": 0.0})
     return out.select(group, "actual_share", "expected_share", (F.col("actual_share") - F.col("expected_share")).alias("gap"))
 
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DateType, DecimalType, DoubleType, LongType
+from pyspark.sql.types import ArrayType, BooleanType, DateType, DecimalType, DoubleType, LongType, NumericType
 
 from cohortlift.functions.expressions import any_of
 
@@ -135,28 +135,26 @@ def _beyond(tile: Tile, key: str, score_bound, key_bound) -> Column:
     return further | (same & (F.col(key) > F.lit(key_bound)))
 
 
-SMALL = 200_000
-
-
 def _order(tile: Tile, score: str) -> Column:
     return F.col(score).desc_nulls_first() if tile.descending else F.col(score).asc_nulls_last()
 
 
-def add_ntiles(df: DataFrame, key: str, tiles: list[Tile], resolution: int = 256, small: int = SMALL) -> DataFrame:
+def add_ntiles(df: DataFrame, key: str, tiles: list[Tile], resolution: int = 256) -> DataFrame:
     """``df`` with one exact NTILE column per entry of ``tiles``.
 
-    Up to ``small`` rows, counted first, a plain window does. Beyond that, only the rows at the
-    ends of the tiles decide the result, so nothing is shuffled whole: (1) a sketch of every
+    Only the rows at the ends of the tiles decide the result, so at no size is the population
+    sorted or shuffled whole: (1) a sketch of every
     score and of the key gives cut values; (2) rows are counted per cell between the cuts, and
     cells of ties per part of the key; (3) the cells that hold the last row of a tile, and only
     they, are ranked to find that row. Each row is then compared with those few rows. What
     reaches the driver is bounded by ``resolution`` and the number of tiles. ``df`` is read by
-    every pass: pass a stored table. ``key`` must be a unique number or date.
+    every pass: pass a stored table. ``key`` must be a unique number or date, scores numbers or
+    dates; other types are refused before anything runs.
     """
-    if df.count() <= small:
-        return df.withColumns({
-            t.out: F.ntile(t.tiles).over(Window.orderBy(_order(t, t.score), F.col(key))) for t in tiles})
     types = {f.name: f.dataType for f in df.schema}
+    for column in (key, *(t.score for t in tiles)):
+        if not isinstance(types[column], (NumericType, DateType)):
+            raise TypeError(f"{column} is {types[column].simpleString()}; keys and scores must be numbers or dates")
     columns = list(dict.fromkeys([key, *(t.score for t in tiles)]))
     share = _shares(resolution)
     sketch = df.agg(F.count(F.lit(1)).alias("rows"), *[
@@ -243,9 +241,9 @@ def _rows_at(df: DataFrame, key: str, tiles: list[Tile], cells: list[_Cells], en
 
 
 def ntile_global(df: DataFrame, score: str, tiles: int, key: str, descending: bool = False, out: str = "tile",
-                 resolution: int = 256, small: int = SMALL) -> DataFrame:
+                 resolution: int = 256) -> DataFrame:
     """``df`` with the exact NTILE of one score."""
-    return add_ntiles(df, key, [Tile(score, tiles, out, descending)], resolution, small)
+    return add_ntiles(df, key, [Tile(score, tiles, out, descending)], resolution)
 
 
 def _sketched(df: DataFrame, resolution: int) -> tuple[int, list[float]]:
@@ -255,19 +253,14 @@ def _sketched(df: DataFrame, resolution: int) -> tuple[int, list[float]]:
     return row["n"], row["cuts"] or []
 
 
-def _values_at(df: DataFrame, ranks: list[int], rows: int, cuts: list[float] | None, resolution: int,
-               small: int) -> dict[int, float]:
-    """The values ``x`` at 0-based ``ranks``, by narrowing to one cell after another.
+def _values_at(df: DataFrame, ranks: list[int], cuts: list[float], resolution: int, leaf: int) -> dict[int, float]:
+    """The finite values ``x`` at 0-based ``ranks``, by narrowing to one cell after another.
 
-    Cell 2i holds the rows equal to cut i, cell 2i + 1 those between it and the next.
+    Cell 2i holds the rows equal to cut i, cell 2i + 1 those between it and the next. A cell of
+    ``leaf`` rows or fewer is put in order; a larger one is narrowed again.
     """
     x = F.col("x")
-    if rows <= small:
-        counts = df.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
-        upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy("x")))
-        hits = upto.where(any_of([(F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for r in ranks])).collect()
-        return {r: h["x"] for r in ranks for h in hits if h["upto"] > r >= h["upto"] - h["n"]}
-    edges = [-math.inf, *sorted(set(cuts or _sketched(df, resolution)[1])), math.inf]
+    edges = [-math.inf, *sorted(set(cuts)), math.inf]
     bucketed = Bucketizer(splits=edges, inputCol="x", outputCol="at").transform(df)
     at_cut = F.element_at(_literals(edges[:-1], DoubleType()), F.col("at").cast("int") + 1) == x
     cells = bucketed.select((2 * F.col("at").cast("int") + F.when(at_cut, 0).otherwise(1)).alias("cell"))
@@ -281,28 +274,47 @@ def _values_at(df: DataFrame, ranks: list[int], rows: int, cuts: list[float] | N
             found |= dict.fromkeys(inside, low)
         elif inside:
             part = df.where((x > F.lit(low)) & (x < F.lit(high)))
-            deeper = _values_at(part, [r - passed for r in inside], n, None, resolution, small)
+            within = [r - passed for r in inside]
+            deeper = _ordered(part, within) if n <= leaf else _values_at(part, within, _sketched(part, resolution)[1], resolution, leaf)
             found |= {r + passed: v for r, v in deeper.items()}
         passed += n
     return found
 
 
+def _ordered(df: DataFrame, ranks: list[int]) -> dict[int, float]:
+    """The values ``x`` at 0-based ``ranks`` of a cell of bounded size."""
+    upto = df.groupBy("x").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(Window.orderBy("x")))
+    hits = upto.where(any_of([(F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for r in ranks])).collect()
+    return {r: h["x"] for r in ranks for h in hits if h["upto"] > r >= h["upto"] - h["n"]}
+
+
 def quantiles(df: DataFrame, measure: str, probabilities: list[float], resolution: int = 256,
-              small: int = SMALL) -> list[float | None]:
+              leaf: int = 50_000) -> list[float | None]:
     """Exact quantiles of a measure (as doubles), interpolated between neighbours, at any number of rows.
 
     Cells between sketched cut values are counted and only the cell that holds a wanted rank is
-    looked into, again and again until it has at most ``small`` rows. Values met at a cut are
-    their own cell, so ties end the search instead of prolonging it. Each pass reads ``df``.
+    looked into, again and again until it has at most ``leaf`` rows. Values met at a cut are
+    their own cell, so ties end the search instead of prolonging it. Infinite values are counted
+    and take the first and last ranks; nulls and NaN have none. Each pass reads ``df``.
     """
     present = df.select(F.col(measure).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
-    rows, cuts = _sketched(present, resolution)
+    finite = present.where((F.col("x") > F.lit(-math.inf)) & (F.col("x") < F.lit(math.inf)))
+    below, rows = present.agg(F.count_if(F.col("x") == F.lit(-math.inf)), F.count(F.lit(1))).first()
     if rows == 0:
         return [None] * len(probabilities)
+    n, cuts = _sketched(finite, resolution)
     spots = [(p * (rows - 1)) for p in probabilities]
     ranks = sorted({r for s in spots for r in (int(s), min(int(s) + 1, rows - 1))})
-    at = _values_at(present, ranks, rows, cuts, resolution, small)
-    return [at[int(s)] + (s - int(s)) * (at[min(int(s) + 1, rows - 1)] - at[int(s)]) for s in spots]
+    at = {r: -math.inf if r < below else math.inf for r in ranks}
+    inside = [r - below for r in ranks if below <= r < below + n]
+    if inside:
+        at |= {r + below: v for r, v in _values_at(finite, inside, cuts, resolution, leaf).items()}
+
+    def between(spot: float) -> float:
+        low, high, part = at[int(spot)], at[min(int(spot) + 1, rows - 1)], spot - int(spot)
+        return low if part == 0 or low == high else low + part * (high - low)
+
+    return [between(s) for s in spots]
 
 
 def grouped_medians(df: DataFrame, group: str, measure: str, out: str = "median", resolution: int = 64) -> DataFrame:

@@ -85,13 +85,14 @@ def targeting_plan(binned: DataFrame, score: str, value: float, cost: float) ->
 
 
 def budget_table(plan: DataFrame, cost: float, budgets: list[float]) -> DataFrame:
-    """What each budget buys: whole bins from the best down, as far as the money and the plan go."""
+    """What each budget buys: whole bins from the best down, as far as the money and the plan go; nothing is a row of zeros."""
     upto = Window.orderBy("bin")
     spend = plan.where("contact = 1").select(
         "bin", "contactable", "expected_conversions", "expected_profit",
         (F.sum("contactable").over(upto) * cost).alias("spent"))
-    per_budget = spend.select("*", F.explode(F.array(*[F.lit(float(b)) for b in budgets])).alias("budget"))
-    fits = F.col("spent") <= F.col("budget")
+    wanted = plan.sparkSession.createDataFrame([(float(b),) for b in dict.fromkeys(budgets)], "budget double")
+    per_budget = wanted.join(spend, F.col("spent") <= F.col("budget"), "left")
+    fits = F.col("spent").isNotNull()
     return per_budget.groupBy("budget").agg(
         F.count_if(fits).alias("bins"),
         F.coalesce(F.sum(F.when(fits, F.col("contactable"))), F.lit(0).cast("long")).alias("contacts"),
@@ -102,11 +103,14 @@ def budget_table(plan: DataFrame, cost: float, budgets: list[float]) -> DataFram
 
 def equal_budget_comparison(scores: DataFrame, responses: DataFrame, contacts_share: float, bins: int = 100,
                             key: str = "customer_sk") -> DataFrame:
-    """Realised lift among the best ``contacts_share`` of customers by uplift and by propensity."""
+    """Realised lift among the best ``contacts_share`` of customers by uplift and by propensity; the share must be a whole number of bins."""
+    wanted = round(bins * contacts_share, 9)
+    if wanted != int(wanted):
+        raise ValueError(f"{contacts_share} of {bins} bins is no whole number of bins")
     out = None
     stored = materialise(scores)
     for ranking in ("uplift", "propensity"):
-        picked = rank_bins(stored, ranking, bins, key).where(F.col("bin") <= F.lit(int(bins * contacts_share)))
+        picked = rank_bins(stored, ranking, bins, key).where(F.col("bin") <= F.lit(int(wanted)))
         t, hit = F.col("assignment") == "treatment", F.col("responded").cast("double")
         row = picked.select(key).join(responses, key).agg(
             F.count(F.lit(1)).alias("customers"),

@@ -33,10 +33,10 @@ def build_session(app_name: str = "cohortlift", master: str | None = None, **con
 _local_scratch: str | None = None
 
 
-def scratch_root(spark: SparkSession) -> str | None:
+def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    Where it is unset, a local session gets a temporary folder and a cluster gets none: no
+    Where it is unset, a local session gets a temporary folder and a cluster is refused: no
     executor could read another machine's temporary folder.
     """
     global _local_scratch
@@ -44,7 +44,7 @@ def scratch_root(spark: SparkSession) -> str | None:
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
-        return None
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="cohortlift-")
         atexit.register(shutil.rmtree, _local_scratch, ignore_errors=True)
@@ -54,21 +54,11 @@ def scratch_root(spark: SparkSession) -> str | None:
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, for results used by several passes.
 
-    The written table survives the loss of executors and carries file statistics. Without a
-    shared folder ``df`` is returned as it is and recomputed by each pass.
+    The written table survives the loss of executors and carries file statistics.
     """
-    root = scratch_root(df.sparkSession)
-    if root is None:
-        return df
-    path = f"{root}/cohortlift/{uuid.uuid4().hex}"
+    path = f"{scratch_root(df.sparkSession)}/cohortlift/{uuid.uuid4().hex}"
     df.write.parquet(path)
     # The table is needed as long as frames built on it are: it goes when the driver ends.
     jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate puts ``df`` under the session's broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortlift.functions.expressions import date_key, day, hash_slot
 from cohortlift.operators import campaign, dimensions, ledger
 from cohortlift.schema import CATEGORIES, EMPLOYMENTS, NO_CATEGORY
-from cohortlift.session import fits_broadcast, materialise
+from cohortlift.session import materialise
 
 AS_OF = dt.date(2001, 1, 1)
 SNAPSHOT_START = dt.date(2000, 2, 1)
@@ -80,14 +80,8 @@ class TestStar:
 
     @cached_property
     def stored_transactions(self) -> DataFrame:
-        """The transaction fact for queries that scan it several times.
-
-        Deriving it joins the two largest test tables. Where the orders are small enough to be
-        broadcast that costs no shuffle and every scan may repeat it; otherwise the joined fact
-        is stored once and the scans read that.
-        """
-        small = fits_broadcast(self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
-        return self.fact_transaction if small else materialise(self.fact_transaction)
+        """The transaction fact for queries that scan it several times: joined from the test tables once, then stored."""
+        return materialise(self.fact_transaction)
 
     @cached_property
     def holdings(self) -> DataFrame:

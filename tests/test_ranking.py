@@ -28,11 +28,10 @@ def tiles_of(df):
     return {r["k"]: r["tile"] for r in df.collect()}
 
 
-@pytest.mark.parametrize("small", [-1, 1000])
 @pytest.mark.parametrize("n, tiles, sizes", [(3, 5, [1, 1, 1]), (7, 3, [3, 2, 2]), (5, 5, [1] * 5)])
-def test_sizes(spark, n, tiles, sizes, small):
+def test_sizes(spark, n, tiles, sizes):
     df = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 10).alias("s"))
-    got = tiles_of(ntile_global(df, "s", tiles, "k", small=small))
+    got = tiles_of(ntile_global(df, "s", tiles, "k"))
     assert [sum(1 for v in got.values() if v == t) for t in range(1, len(sizes) + 1)] == sizes
 
 
@@ -51,9 +50,14 @@ def test_distributed_equals_sorting(spark, shape, descending):
     keys = rng.sample(range(10 * n), n)
     rows = [(k, score(i)) for i, k in enumerate(keys)]
     df = spark.createDataFrame(rows, "k long, s double").repartition(6)
-    for small in (-1, 10_000):
-        got = tiles_of(add_ntiles(df, "k", [Tile("s", 5, "tile", descending)], resolution=32, small=small))
-        assert got == expected(rows, 5, descending)
+    got = tiles_of(add_ntiles(df, "k", [Tile("s", 5, "tile", descending)], resolution=32))
+    assert got == expected(rows, 5, descending)
+
+
+def test_other_types_are_refused(spark):
+    df = spark.createDataFrame([("a", 1.0)], "k string, s double")
+    with pytest.raises(TypeError, match="k is string"):
+        ntile_global(df, "s", 5, "k")
 
 
 def test_two_scores_of_different_types(spark):
@@ -63,7 +67,7 @@ def test_two_scores_of_different_types(spark):
     tiles = [Tile("a", 4, "ta"), Tile("b", 3, "tb", descending=True)]
     windowed = df.select(
         "k", F.ntile(4).over(Window.orderBy("a", "k")).alias("ta"), F.ntile(3).over(Window.orderBy(F.desc("b"), "k")).alias("tb"))
-    got = add_ntiles(df, "k", tiles, resolution=16, small=-1).select("k", "ta", "tb")
+    got = add_ntiles(df, "k", tiles, resolution=16).select("k", "ta", "tb")
     assert got.exceptAll(windowed).count() == 0
 
 
@@ -72,19 +76,19 @@ def test_scores_beyond_doubles(spark, kind):
     """Neighbours that are one double; every third value is common."""
     rows = [(k, 2**60 + (5 if k % 3 == 0 else k * 7919 % 1000)) for k in range(1500)]
     df = spark.createDataFrame(rows, "k long, s long").select("k", F.col("s").cast(kind).alias("s")).repartition(5)
-    got = tiles_of(add_ntiles(df, "k", [Tile("s", 5, "tile")], resolution=32, small=-1))
+    got = tiles_of(add_ntiles(df, "k", [Tile("s", 5, "tile")], resolution=32))
     assert got == expected(rows, 5, False)
 
 
 def test_nan_is_largest(spark):
     df = spark.createDataFrame([(k, float("nan") if k % 3 == 0 else float(k)) for k in range(300)], "k long, s double")
-    got = tiles_of(add_ntiles(df, "k", [Tile("s", 3, "tile")], resolution=16, small=-1))
+    got = tiles_of(add_ntiles(df, "k", [Tile("s", 3, "tile")], resolution=16))
     assert all(got[k] == 3 for k in range(0, 300, 3)) and {got[k] for k in range(300) if k % 3} == {1, 2}
 
 
 def test_empty(spark):
     df = spark.range(0).select(F.col("id").alias("k"), F.col("id").alias("s"))
-    assert ntile_global(df, "s", 5, "k", small=-1).count() == 0
+    assert ntile_global(df, "s", 5, "k").count() == 0
 
 
 def test_cuts_below(spark):
@@ -105,7 +109,7 @@ def test_quantiles_equal_sorting(spark, values):
         at = p * (len(ordered) - 1)
         low, high = ordered[int(at)], ordered[min(int(at) + 1, len(ordered) - 1)]
         want.append(low + (at - int(at)) * (high - low))
-    assert quantiles(df, "x", probabilities, resolution=16, small=40) == pytest.approx(want, abs=1e-12)
+    assert quantiles(df, "x", probabilities, resolution=16, leaf=40) == pytest.approx(want, abs=1e-12)
 
 
 def test_quantiles_of_nothing(spark):
@@ -119,3 +123,9 @@ def test_grouped_medians(spark):
     df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs] + [("none", None)], "g string, x double").repartition(7)
     got = {r["g"]: r["median"] for r in grouped_medians(df, "g", "x", resolution=8).collect()}
     assert got == pytest.approx({g: statistics.median(vs) for g, vs in values.items()})
+
+
+def test_quantiles_with_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(v,) for v in [-inf, 1.0, 2.0, inf, inf, float("nan"), None]], "x double")
+    assert quantiles(df, "x", [0.0, 0.25, 0.5, 0.6, 0.75, 1.0]) == [-inf, 1.0, 2.0, inf, inf, inf]

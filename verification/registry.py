@@ -67,7 +67,7 @@ def ntile_global(s):
     base = rfm.rfm_base(s.fact_transaction, AS_OF).select("customer_sk", "monetary_gel", "frequency")
     tiles = [ranking.Tile("monetary_gel", 5, "spend_tile"), ranking.Tile("frequency", 7, "frequency_tile", descending=True)]
     # No row is few enough for the plain window here, so this query runs the distributed form.
-    tiled = ranking.add_ntiles(materialise(base), "customer_sk", tiles, small=-1)
+    tiled = ranking.add_ntiles(materialise(base), "customer_sk", tiles)
     return tiled.select("customer_sk", "spend_tile", "frequency_tile")
 
 
