@@ -216,20 +216,65 @@ SQL["penetration_by_persona"] = with_star(f"""
 
 # ---- quality ----------------------------------------------------------------------------------
 _line = "SELECT '{t}' AS table_name, '{k}' AS kind, '{r}' AS rule, count(*) AS violations FROM {q}"
-_null_checks = [_line.format(t=t, k="not_null", r=f.name, q=f"{c} WHERE {f.name} IS NULL")
-                for t, c in STAR.items() for f in TABLES[t] if not f.nullable]
-_key_checks = [_line.format(
-    t=k.table, k=k.kind, r=", ".join(k.columns),
-    q=f"(SELECT 1 FROM {STAR[k.table]} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in k.columns)} "
-      f"GROUP BY {', '.join(k.columns)} HAVING count(*) > 1)") for k in KEYS if k.table in STAR]
-_fk_checks = [_line.format(
-    t=r.table, k="foreign", r=f"{r.column} -> {r.parent}",
-    q=f"{STAR[r.table]} x WHERE {r.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {STAR[r.parent]} p WHERE p.{r.parent_column} = x.{r.column})")
-    for r in REFERENCES if r.table in STAR]
-_rule_checks = [_line.format(t=r.table, k="check", r=r.name, q=f"{STAR[r.table]} WHERE NOT ({r.predicate.replace('year_month RLIKE', 'year_month SIMILAR TO').replace('^', '').replace('$', '')})")
-                for r in RULES if r.table in STAR]
+
+
+def _null_checks(star: dict[str, str]) -> str:
+    return " UNION ALL ".join(_line.format(t=t, k="not_null", r=f.name, q=f"{c} WHERE {f.name} IS NULL")
+                              for t, c in star.items() for f in TABLES[t] if not f.nullable)
+
+
+def _key_checks(star: dict[str, str]) -> str:
+    return " UNION ALL ".join(_line.format(
+        t=k.table, k=k.kind, r=", ".join(k.columns),
+        q=f"(SELECT 1 FROM {star[k.table]} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in k.columns)} "
+          f"GROUP BY {', '.join(k.columns)} HAVING count(*) > 1)") for k in KEYS if k.table in star)
+
+
+def _fk_checks(star: dict[str, str]) -> str:
+    return " UNION ALL ".join(_line.format(
+        t=r.table, k="foreign", r=f"{r.column} -> {r.parent}",
+        q=f"{star[r.table]} x WHERE {r.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {star[r.parent]} p WHERE p.{r.parent_column} = x.{r.column})")
+        for r in REFERENCES if r.table in star)
+
+
+def _rule_checks(star: dict[str, str]) -> str:
+    return " UNION ALL ".join(_line.format(
+        t=r.table, k="check", r=r.name,
+        q=f"{star[r.table]} WHERE NOT ({r.predicate.replace('year_month RLIKE', 'year_month SIMILAR TO').replace('^', '').replace('$', '')})")
+        for r in RULES if r.table in star)
+
+
+def _nulls_sql(table: str, source: str) -> str:
+    names = TABLES[table].names
+    lost = ", ".join(f"CASE WHEN k > {i} THEN {c} END AS {c}" for i, c in enumerate(names))
+    return f"SELECT {lost} FROM {source} CROSS JOIN range(0, {len(names)}) r(k)"
+
+
+def _bad_sql(table: str, source: str) -> str:
+    value = {"string": "'bad'", "date": "DATE '1900-01-01'"}
+    bad = ", ".join(f"CASE WHEN k = {i} THEN {value.get(f.dataType.simpleString(), '-1')} ELSE {f.name} END AS {f.name}"
+                    for i, f in enumerate(TABLES[table]))
+    return f"SELECT {bad} FROM {source} CROSS JOIN range(0, {len(TABLES[table])}) r(k)"
+
+
+def _doubled_sql(table: str, source: str) -> str:
+    key = TABLES[table].names[0]
+    return f"SELECT * REPLACE ({key} * 2 AS {key}) FROM {source}" if table.startswith("dim_") else f"SELECT * FROM {source}"
+
+
+def _repeated_sql(table: str, source: str) -> str:
+    return f"SELECT * FROM {source} UNION ALL SELECT * FROM {source} WHERE {TABLES[table].names[0]} % 2 = 1"
+
+
 for _name, _checks in (("not_null_report", _null_checks), ("unique_report", _key_checks), ("fk_report", _fk_checks), ("rule_report", _rule_checks)):
-    SQL[_name] = with_star(" UNION ALL ".join(_checks), *STAR.values())
+    SQL[_name] = with_star(_checks(STAR), *STAR.values())
+_contract = {**STAR, "customer_rfm_snapshot": "segments"}
+for _name, _checks, _damage, _tables in (
+        ("not_null_report_damaged", _null_checks, _nulls_sql, _contract), ("unique_report_damaged", _key_checks, _repeated_sql, _contract),
+        ("fk_report_damaged", _fk_checks, _doubled_sql, _contract), ("rule_report_damaged", _rule_checks, _bad_sql, STAR)):
+    SQL[_name] = with_star(
+        _checks({t: f"bad_{c}" for t, c in _tables.items()}), *STAR.values(), **RFM,
+        segments=f"SELECT *, {AS_OF} AS snapshot_date FROM rfm", **{f"bad_{c}": _damage(t, c) for t, c in _tables.items()})
 _dq = {
     ("customers_without_transactions", "ERROR"): "FROM dimc WHERE customer_sk NOT IN (SELECT customer_sk FROM txn)",
     ("negative_transaction_amounts", "ERROR"): "FROM txn WHERE amount_gel < 0",
@@ -443,6 +488,12 @@ SQL["leak_scan"] = with_star("""
 U_BINS = f"""
     SELECT customer_sk, score, ntile(20) OVER (ORDER BY score DESC, customer_sk) AS bin
     FROM (SELECT customer_sk, CAST(acctbal AS DOUBLE) / 50000 + CAST({slot('c', 'score', 1000)} AS DOUBLE) / 10000 - CAST(0.05 AS DOUBLE) AS score FROM cust)"""
+SQL["equal_budget_by_score"] = with_star("""
+    SELECT ranking, count(*) AS customers, round(avg(responded) FILTER (WHERE assignment = 'treatment')
+           - avg(responded) FILTER (WHERE assignment <> 'treatment'), 9) AS lift
+    FROM (SELECT customer_sk, 'uplift' AS ranking, bin FROM bins
+          UNION ALL SELECT customer_sk, 'propensity', ntile(20) OVER (ORDER BY acctbal DESC, customer_sk) FROM cust)
+    JOIN resp USING (customer_sk) WHERE bin <= 6 GROUP BY ranking""", "cust", "resp", bins=U_BINS)
 U_RUN = """
     SELECT bin, sum(n_t) OVER w AS n_t, sum(n_c) OVER w AS n_c, sum(y_t) OVER w AS y_t, sum(y_c) OVER w AS y_c
     FROM (SELECT bin, sum(contacted) AS n_t, sum(1 - contacted) AS n_c, sum(contacted * responded) AS y_t, sum((1 - contacted) * responded) AS y_c

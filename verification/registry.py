@@ -14,6 +14,7 @@ from cohortlift.operators import (
 from cohortlift.schema import CATEGORIES, CHANNELS
 from cohortlift.session import materialise
 from cohortlift.sources.adapter import AS_OF, SNAPSHOT_MONTHS, SNAPSHOT_START, TestStar
+from verification import damage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RESTATED = "1995-07-01"
@@ -211,6 +212,32 @@ def rule_report(s):
     return quality.rule_report(s.tables())
 
 
+def _contract_tables(s):
+    """All tables under contract: the star and the stored segments of the campaign date."""
+    segments = rfm.customer_rfm(s.fact_transaction, AS_OF).withColumn("snapshot_date", F.lit(AS_OF))
+    return {**s.tables(), "customer_rfm_snapshot": segments}
+
+
+@query
+def not_null_report_damaged(s):
+    return quality.not_null_report(damage.with_nulls(_contract_tables(s)))
+
+
+@query
+def unique_report_damaged(s):
+    return quality.unique_report(damage.with_repeats(_contract_tables(s)))
+
+
+@query
+def fk_report_damaged(s):
+    return quality.fk_report(damage.with_other_keys(_contract_tables(s)))
+
+
+@query
+def rule_report_damaged(s):
+    return quality.rule_report(damage.with_bad_values(s.tables()))
+
+
 @query
 def dq_suite(s):
     return quality.dq_suite(s.tables(stored=True))
@@ -502,6 +529,14 @@ def uplift_scores(s):
     return uplift.uplift_scores(_stored_matrix(s), s.fact_campaign_response, SEGMENT_COLUMNS)
 
 
+@query
+def equal_budget_by_score(s):
+    """The comparison on given scores: the stand-in for the uplift, the balance for the propensity."""
+    balances = s._customer.select("customer_sk", F.col("acctbal").cast("double").alias("propensity"))
+    scores = _scores(s).withColumnRenamed("score", "uplift").join(balances, "customer_sk")
+    return rounded(uplift.equal_budget_comparison(scores, s.fact_campaign_response, 0.3, bins=20), {"lift": 9})
+
+
 @query
 def equal_budget_comparison(s):
     scores = uplift.uplift_scores(_stored_matrix(s), s.fact_campaign_response, SEGMENT_COLUMNS)
