@@ -292,17 +292,6 @@ def feature_matrix(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, pr
     return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)
 
 
-def feature_matrix_by_blocks(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, products: DataFrame,
-                             as_of: DateLike) -> DataFrame:
-    """The same matrix from the single blocks; the fused plan must equal it."""
-    out = customers.select(KEY, *CUSTOMER_COLUMNS)
-    for part in (transaction_features(txn, as_of), category_shares(txn, as_of), channel_features(txn, as_of),
-                 income_features(txn, as_of), momentum_features(txn, as_of),
-                 balance_features(snapshot, products, as_of), holding_features(snapshot, products, as_of)):
-        out = out.join(part, KEY, "left")
-    return out.na.fill(0)
-
-
 def monthly_feature_snapshots(txn: DataFrame, as_of_months: list[DateLike]) -> DataFrame:
     """Purchase features as seen at the start of several months, one row per customer and month.
 

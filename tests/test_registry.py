@@ -29,6 +29,12 @@ def test_query_equals_sql(spark, duck, name):
     assert ok, note
 
 
+@pytest.mark.parametrize("name", ["not_null_report_damaged", "unique_report_damaged", "fk_report_damaged", "rule_report_damaged"])
+def test_damage_shows_in_every_line(spark, name):
+    lines = entry.queries()[name](spark, SMALL).collect()
+    assert lines and [(r.table_name, r.rule) for r in lines if r.violations == 0] == []
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
