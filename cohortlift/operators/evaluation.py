@@ -55,14 +55,14 @@ def leak_scan(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """One-way ANOVA F of every feature over the label groups, and whether it looks leaked.
 
     A feature without any variance inside the groups but some between them determines the label:
-    its F is infinite. Sums, counts and squares of all features come from one pass; the spread
-    inside a group is taken around the group's own mean, so a constant group has exactly none.
+    its F is infinite. All features are aggregated side by side by label, in one pass; only the few results become rows. The
+    spread inside a group is taken around the group's own mean, so a constant group has exactly none.
     """
-    long = df.select(F.col(label).alias("label"), F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])))
-    groups = long.where("x IS NOT NULL AND label IS NOT NULL").groupBy("feature", "label").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.var_pop("x").alias("var"),
-        F.min("x").alias("low"), F.max("x").alias("high"))
+    wide = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(*[
+        F.struct(F.lit(f).alias("feature"), F.count(x).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var"),
+                 F.min(x).alias("low"), F.max(x).alias("high")).alias(f"f{i}")
+        for i, (f, x) in enumerate((f, F.col(f).cast("double")) for f in features)])
+    groups = wide.select("label", F.inline(F.array(*[F.col(f"f{i}") for i in range(len(features))]))).where("n > 0")
     n = F.col("n").cast("double")
     pooled = groups.groupBy("feature").agg(
         F.sum(n).alias("total"), F.count(F.lit(1)).alias("k"), F.sum(n * F.col("mean")).alias("sx"),
