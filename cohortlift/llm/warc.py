@@ -7,7 +7,7 @@ import gzip
 import hashlib
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlift.llm.common import columns, shared_folder
+from cohortlift.llm.common import columns, shared_folder, stored
 
 #: Fixed values of the format.
 VERSION, PROFILE = "WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -34,32 +34,36 @@ def record_id(page_id: int | None, payload_digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(SPACE, f'{page_id}/{payload_digest}')}>"
 
 
-def planned(pages: DataFrame, least: int = 0) -> DataFrame:
-    """pages -> (page_id, url, payload, sha, first_id, revisit). Of equal payloads of `least` bytes or more the smallest page_id answers (rows that
-    share it all do), the others revisit it; payloads whose ids are all null are all responses."""
+def payloads(pages: DataFrame) -> DataFrame:
+    """pages -> (page_id, url, payload, sha), one row each; null html is an empty payload."""
     rows = columns(pages, page_id="page_id", url="url", html="html").select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("sha", F.sha2("payload", 256))
-    firsts = rows.groupBy("sha").agg(F.min("page_id").alias("first_id"))
-    revisit = (F.octet_length("payload") >= least) & F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return rows.join(firsts, "sha").withColumn("revisit", revisit)
+    return rows.withColumn("sha", F.sha2("payload", 256))
 
 
-def sharded(rows: DataFrame, shard_bytes: int) -> DataFrame:
-    """Adds shard, from counts alone, so a rerun cuts alike: shards follow the order of ids, in steps of 1/BINS of their range; a step heavier than a
-    shard is cut by the first digit of the payload hash as well. The counts are BINS * SUBS rows at most."""
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
+def rulings(slim: DataFrame) -> DataFrame:
+    """(page_id, sha, first_id) of the pages that repeat the payload of another. Of equal payloads the smallest page_id answers (rows that share it
+    all do), the others revisit it; payloads whose ids are all null are all responses. Only ids and hashes are shuffled, never payloads, and the
+    answers are stored before the join, so that a payload which many pages share is split there."""
+    firsts = stored(slim.groupBy("sha").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first_id IS NOT NULL"))
+    return slim.select("page_id", "sha").join(firsts.drop("n"), "sha").where("NOT page_id <=> first_id").distinct()
+
+
+def sharding(slim: DataFrame, shard_bytes: int) -> Callable[[DataFrame], DataFrame]:
+    """What adds shard to rows with page_id and sha, from counts alone, so a rerun cuts alike: shards follow the order of ids, in steps of 1/BINS of
+    their range; a step heavier than a shard is cut by the first digit of the payload hash as well. The counts are BINS * SUBS rows at most."""
+    low, high = slim.agg(F.min("page_id"), F.max("page_id")).first()
     width = max(1.0, (float(high) - float(low) + 1) / BINS) if low is not None else 1.0
     # null ids come before all others
     step = F.coalesce(F.least(F.lit(BINS - 1), F.floor((F.col("page_id").cast("double") - float(low or 0)) / width)), F.lit(-1)).cast("int")
-    rows = rows.withColumn("step", step).withColumn("sub", F.conv(F.substring("sha", 1, 1), 16, 10).cast("int") % SUBS)
-    sizes = rows.groupBy("step", "sub").agg(F.sum(F.octet_length("payload") + 600).alias("n"))
+    place = {"step": step, "sub": F.conv(F.substring("sha", 1, 1), 16, 10).cast("int") % SUBS}
+    sizes = slim.withColumns(place).groupBy("step", "sub").agg(F.sum(F.col("bytes") + 600).alias("n"))
     of_step = Window.partitionBy("step")
     heavy = F.sum("n").over(of_step) > shard_bytes
     before = F.coalesce(F.sum("n").over(Window.orderBy("step", "sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.withColumn("before", before).withColumn("at", F.when(heavy, F.col("before")).otherwise(F.min("before").over(of_step)))
     shards = sizes.select("step", "sub", F.floor(F.col("at") / shard_bytes).cast("int").alias("shard"))
-    return rows.join(F.broadcast(shards), ["step", "sub"]).drop("step", "sub")
+    return lambda rows: rows.withColumns(place).join(F.broadcast(shards), ["step", "sub"]).drop("step", "sub")
 
 
 def _record(page_id: int | None, url: str | None, payload: bytes, first: int | None, revisit: bool, date: str) -> bytes:
@@ -115,26 +119,39 @@ def write(pages: DataFrame, folder: str, least: int = 0, shard_bytes: int = 256
     """
     fs, path = pafs.FileSystem.from_uri(folder)
     fs.create_dir(path, recursive=True)
-    rows = sharded(planned(pages, least), shard_bytes).repartition("shard").sortWithinPartitions("shard", "page_id", "sha", "url")
+    rows = payloads(pages)
+    slim = stored(rows.select("page_id", "sha", F.octet_length("payload").alias("bytes")))
+    placed = sharding(slim, shard_bytes)
+    # a ruling is a row of its own that sorts right before the records of its page and payload; so payloads are shuffled once
+    ruled = placed(rulings(slim)).select("shard", "page_id", "sha", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "first_id")
+    kept = placed(rows).select("shard", "page_id", "sha", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("first_id"))
+    ordered = ruled.unionByName(kept).repartition("shard").sortWithinPartitions("shard", "page_id", "sha", "kind", "url")
+
+    ordered_columns = ordered.columns
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, done = None, []
+        current, ruling, done = None, None, []
         for batch in batches:
-            for shard, page_id, url, payload, first, revisit in zip(*(batch.column(c) for c in ("shard", "page_id", "url", "payload", "first_id", "revisit")), strict=True):
+            for shard, page_id, sha, kind, url, payload, first in zip(*(batch.column(c) for c in ordered_columns), strict=True):
+                key = (page_id.as_py(), sha.as_py())
+                if kind.as_py() == 0:
+                    ruling = (key, first.as_py())
+                    continue
                 if current is None or current.shard != shard.as_py():
                     if current is not None:
                         current.close()
                         done += current.done
                     current = _Rolled(folder, shard.as_py(), roll_bytes)
-                current.add(_record(page_id.as_py(), url.as_py(), payload.as_py(), first.as_py(), revisit.as_py(), date))
+                data = payload.as_py()
+                revisit = ruling is not None and ruling[0] == key and len(data) >= least
+                current.add(_record(key[0], url.as_py(), data, ruling[1] if revisit else None, revisit, date))
         if current is not None:
             current.close()
             done += current.done
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)], ["temporary", "name", "bytes", "records", "sha256"])
 
-    rows = rows.select("shard", "page_id", "url", "payload", "first_id", "revisit")
-    files = rows.mapInArrow(store, "temporary string, name string, bytes long, records long, sha256 string").collect()
+    files = ordered.mapInArrow(store, "temporary string, name string, bytes long, records long, sha256 string").collect()
     manifest = sorted((f.asDict() for f in files), key=lambda f: f["name"])
     for f in manifest:
         fs.move(f"{path}/{f.pop('temporary')}", f"{path}/{f['name']}")
