@@ -10,6 +10,7 @@ reduced to that grain and then counted; the median is a mergeable sketch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -153,14 +154,16 @@ def _one_block(txn: DataFrame, as_of: DateLike, block: Block) -> DataFrame:
     return customer_totals(txn, as_of, [block]).select(KEY, *block_columns(block))
 
 
-def median_ticket(txn: DataFrame, as_of: DateLike, accuracy: int = 10_000) -> DataFrame:
+MEDIAN = "CAST(percentile_approx(amount_gel, 0.5D, 10000) AS DOUBLE)"
+
+
+def median_ticket(txn: DataFrame, as_of: DateLike) -> DataFrame:
     """Median purchase amount per customer.
 
-    A mergeable sketch of bounded size: exact up to ``accuracy`` rows per customer, within
-    ``1/accuracy`` of the middle rank beyond.
+    A mergeable sketch of bounded size: exact up to 10,000 rows per customer, within 1/10,000 of the
+    middle rank beyond.
     """
-    return before(txn, "txn_date", as_of).where(PURCHASE).groupBy(KEY).agg(
-        F.expr(f"CAST(percentile_approx(amount_gel, 0.5D, {accuracy}) AS DOUBLE)").alias("median_ticket_gel"))
+    return before(txn, "txn_date", as_of).where(PURCHASE).groupBy(KEY).agg(F.expr(MEDIAN).alias("median_ticket_gel"))
 
 
 def distinct_merchants(txn: DataFrame, as_of: DateLike) -> DataFrame:
@@ -173,20 +176,25 @@ INCOME_COLUMNS = ("avg_monthly_inflow_gel", "inflow_volatility_gel", "months_wit
                   "min_monthly_inflow_gel", "inflow_cv")
 
 
+# Over one row per month with p_n purchases and the inflow in minor units.
+MONTHLY = {
+    "active_months": "count_if(p_n > 0)",
+    "avg_monthly_inflow_gel": _ratio(_gel("sum(inflow)"), "count(inflow)"),
+    "inflow_volatility_gel": f"stddev_samp({_gel('inflow')})",
+    "months_with_inflow": "nullif(count(inflow), 0L)",
+    "min_monthly_inflow_gel": _gel("min(inflow)"),
+}
+INFLOW_CV = ("CASE WHEN months_with_inflow > 0 THEN "
+             + _floored("coalesce(inflow_volatility_gel, 0D)", "avg_monthly_inflow_gel") + " END")
+
+
 def monthly_pattern(txn: DataFrame, as_of: DateLike, rows: str) -> DataFrame:
     """Months with a purchase, and level and regularity of the monthly inflow, per customer."""
     months = before(txn, "txn_date", as_of).where(rows).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(*_named({
         "p_n": f"count_if({PURCHASE})",
         # NULL in a month without any inflow, so that such a month counts in no statistic.
         "inflow": f"sum(CASE WHEN {INFLOW} THEN {CENTS} END)"}))
-    return months.groupBy(KEY).agg(*_named({
-        "active_months": "count_if(p_n > 0)",
-        "avg_monthly_inflow_gel": _ratio(_gel("sum(inflow)"), "count(inflow)"),
-        "inflow_volatility_gel": f"stddev_samp({_gel('inflow')})",
-        "months_with_inflow": "nullif(count(inflow), 0L)",
-        "min_monthly_inflow_gel": _gel("min(inflow)"),
-    })).withColumn("inflow_cv", F.expr(
-        "CASE WHEN months_with_inflow > 0 THEN " + _floored("coalesce(inflow_volatility_gel, 0D)", "avg_monthly_inflow_gel") + " END"))
+    return months.groupBy(KEY).agg(*_named(MONTHLY)).withColumn("inflow_cv", F.expr(INFLOW_CV))
 
 
 TRANSACTION_COLUMNS = (
@@ -234,13 +242,13 @@ def product_balances(snapshot: DataFrame, products: DataFrame, product_name: str
     return before(snapshot, "month_end_date", as_of).where(F.col("product_sk") == wanted)
 
 
-def balance_history(balances: DataFrame) -> DataFrame:
-    """Level, spread, extremes and drift of each customer's month-end balances.
+def balance_history(balances: DataFrame, *by: str) -> DataFrame:
+    """Level, spread, extremes and drift of each customer's month-end balances, also ``by`` other columns.
 
     First and last month come from ``min_by`` / ``max_by``, which need no sort.
     """
     gel, end = F.col("balance_gel"), "month_end_date"
-    return balances.groupBy(KEY).agg(
+    return balances.groupBy(*by, KEY).agg(
         exact_mean(gel).alias("avg_balance_gel"),
         F.stddev_samp(gel.cast("double")).alias("balance_volatility_gel"),
         F.min(gel).cast("double").alias("min_balance_gel"), F.max(gel).cast("double").alias("max_balance_gel"),
@@ -251,8 +259,11 @@ def balance_history(balances: DataFrame) -> DataFrame:
 def balance_features(snapshot: DataFrame, products: DataFrame, as_of: DateLike) -> DataFrame:
     """Current-account behaviour; the coefficient of variation has a floor of 1 under the mean."""
     history = balance_history(product_balances(snapshot, products, "Current Account", as_of))
-    return history.withColumn("balance_cv", floored_ratio(
-        F.coalesce("balance_volatility_gel", F.lit(0.0)), F.abs("avg_balance_gel")))
+    return history.withColumn("balance_cv", _balance_cv())
+
+
+def _balance_cv() -> Column:
+    return floored_ratio(F.coalesce("balance_volatility_gel", F.lit(0.0)), F.abs("avg_balance_gel"))
 
 
 HOLDING_FLAGS = {
@@ -265,9 +276,13 @@ def holding_features(snapshot: DataFrame, products: DataFrame, as_of: DateLike)
     """Products held and what they are worth at the last snapshot before ``as_of``."""
     past = before(snapshot, "month_end_date", as_of)
     latest = past.agg(F.max("month_end_date")).scalar()
-    held = past.where(F.col("month_end_date") == latest).join(products.select("product_sk", "product_name"), "product_sk")
+    return _holdings(past.where(F.col("month_end_date") == latest), products)
+
+
+def _holdings(snapshot: DataFrame, products: DataFrame, *by: str) -> DataFrame:
+    held = snapshot.join(products.select("product_sk", "product_name"), "product_sk")
     gel = F.col("balance_gel")
-    return held.groupBy(KEY).agg(
+    return held.groupBy(*by, KEY).agg(
         *[F.max((F.col("product_name") == name).cast("int")).alias(flag) for flag, name in HOLDING_FLAGS.items()],
         F.count(F.lit(1)).alias("products_held"),
         sum_if(gel > 0, gel).cast("double").alias("total_assets_gel"),
@@ -292,20 +307,78 @@ def feature_matrix(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, pr
     return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)
 
 
-def monthly_feature_snapshots(txn: DataFrame, as_of_months: list[DateLike]) -> DataFrame:
-    """Purchase features as seen at the start of several months, one row per customer and month.
+def _merged(measures: list[str]) -> dict[str, str]:
+    """How the measures of periods combine: dates and extremes by the extreme, everything else by its sum."""
+    extreme = {"p_max": "max", "p_min": "min", "p_last": "max"}
+    return {m: f"{extreme.get(m, 'sum')}({m})" for m in measures}
+
 
-    The fact is read once and reduced to customer and month; each of those rows then counts
-    towards every later date, so only the reduced rows are multiplied. Dates other than the first
-    of a month are refused.
+def _totals_at(txn: DataFrame, dates: list[str], later: Callable[[str], Column]) -> DataFrame:
+    """The features from additive measures at every date, from one scan.
+
+    The fact is reduced to customers and periods. A period is a month, cut again at each date and at
+    its three and six months before, so that it lies on one side of all of them. Only the reduced
+    rows are multiplied by the dates, and all that follows stays on their partitioning by customer.
+    """
+    last = dates[-1]
+    cuts = ["trunc(txn_date, 'MM')"] + [
+        f"CASE WHEN txn_date >= {c} THEN {c} END" for d in dates if not d.endswith("-01")
+        for c in (f"DATE '{d}'", f"add_months(DATE '{d}', {-RECENT_MONTHS})", f"add_months(DATE '{d}', {-2 * RECENT_MONTHS})")]
+    period = f"greatest({', '.join(cuts)})" if len(cuts) > 1 else cuts[0]
+    purchase, category, channel, momentum = purchase_block(last), category_block(), channel_block(), momentum_block(last)
+    ticket = f"CASE WHEN {PURCHASE} THEN CAST(amount_gel AS DOUBLE) END"
+    measures = {**purchase.measures, **category.measures, **channel.measures, "p_min": f"min(CASE WHEN {PURCHASE} THEN {CENTS} END)",
+                "inflow": f"sum(CASE WHEN {INFLOW} THEN {CENTS} END)"}
+    del measures["p_sd"]
+    # squared deviations inside a period, and what the means of periods add to them
+    spread = {"p_inside": f"var_pop({ticket}) * count({ticket})", "p_between": f"pow(avg({ticket}), 2) * count({ticket})"}
+    rows = before(txn, "txn_date", last).where(f"{PURCHASE} OR {INFLOW} OR {DEBIT}")
+    periods = rows.groupBy(KEY, F.expr(period).alias("period")).agg(*_named({**measures, **spread})).repartition(KEY)
+
+    recent, prior = f"add_months(as_of, {-RECENT_MONTHS})", f"add_months(as_of, {-2 * RECENT_MONTHS})"
+    in_recent, in_prior = f"period >= {recent}", f"period >= {prior} AND period < {recent}"
+    months = periods.select("*", later("period")).groupBy("as_of", KEY, month_start(F.col("period")).alias("month")).agg(*_named({
+        **_merged([*measures, *spread]),
+        "recent_sum": f"sum(CASE WHEN {in_recent} THEN p_sum ELSE 0L END)", "prior_sum": f"sum(CASE WHEN {in_prior} THEN p_sum ELSE 0L END)",
+        "recent_n": f"sum(CASE WHEN {in_recent} THEN p_n ELSE 0L END)"}))
+    totals = months.groupBy("as_of", KEY).agg(*_named({
+        **_merged([*[m for m in measures if m != "inflow"], *spread, "recent_sum", "prior_sum", "recent_n"]), **MONTHLY}))
+    gathered = f"p_inside + p_between - pow({_gel('p_sum')}, 2) / p_n"
+    totals = totals.withColumns({
+        "p_sd": F.expr(f"CASE WHEN p_n > 1 THEN CASE WHEN p_min = p_max THEN 0D ELSE sqrt(greatest({gathered}, 0D) / (p_n - 1)) END END"),
+        "mom_rows": F.col("p_n"), "inflow_cv": F.expr(INFLOW_CV)})
+    purchase.columns["recency_days"] = "datediff(as_of, p_last)"
+    blocks = [c for b in (purchase, category, channel, momentum) for c in block_columns(b)]
+    return totals.select("as_of", KEY, *blocks, "active_months", *INCOME_COLUMNS)
+
+
+def monthly_feature_snapshots(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, products: DataFrame,
+                              as_of_dates: list[DateLike]) -> DataFrame:
+    """The feature matrix as seen at several dates, one row per date and customer.
+
+    Any dates do; each row equals that of ``feature_matrix`` at its date. The fact is scanned as often
+    as for one date: totals are rolled up to periods, a merchant counts from the customer's first
+    purchase there, and only medians see a purchase once per later date (as sketches when shuffled).
     """
-    if odd := [str(d) for d in as_of_months if not str(d).endswith("-01")]:
-        raise ValueError(f"not the first of a month: {odd}")
-    dates = F.array(*[month_start(day(d)) for d in as_of_months])
-    last = max(str(d) for d in as_of_months)
-    months = before(txn, "txn_date", last).where(PURCHASE).groupBy(KEY, month_start(F.col("txn_date")).alias("month")).agg(*_named({
-        "n": "count(1)", "cents": f"sum({CENTS})", "top": f"max({CENTS})", "last": "max(txn_date)"}))
-    seen = months.select("*", F.explode(F.filter(dates, lambda d: d > F.col("month"))).alias("as_of"))
-    return seen.groupBy("as_of", KEY).agg(*_named({
-        "recency_days": "datediff(as_of, max(last))", "purchase_count": "sum(n)", "total_spend_gel": _gel("sum(cents)"),
-        "avg_ticket_gel": _ratio(_gel("sum(cents)"), "sum(n)"), "max_ticket_gel": _gel("max(top)"), "active_months": "count(1)"}))
+    dates = sorted({str(d) for d in as_of_dates})
+    if not dates:
+        raise ValueError("no dates")
+    listed = F.array(*[day(d) for d in dates])
+
+    def later(column: str) -> Column:
+        return F.explode(F.filter(listed, lambda d: d > F.col(column))).alias("as_of")
+
+    purchases = before(txn, "txn_date", dates[-1]).where(PURCHASE)
+    first = purchases.groupBy(KEY, "merchant_sk").agg(F.min("txn_date").alias("first"))
+    merchants = first.select(KEY, "merchant_sk", later("first")).groupBy("as_of", KEY).agg(F.count("merchant_sk").alias("distinct_merchants"))
+    medians = purchases.select(KEY, "amount_gel", later("txn_date")).groupBy("as_of", KEY).agg(F.expr(MEDIAN).alias("median_ticket_gel"))
+    accounts = product_balances(snapshot, products, "Current Account", dates[-1]).select("*", later("month_end_date"))
+    balances = balance_history(accounts, "as_of").withColumn("balance_cv", _balance_cv())
+    ends = before(snapshot, "month_end_date", dates[-1]).select("month_end_date").distinct()
+    latest = ends.select("month_end_date", later("month_end_date")).groupBy("as_of").agg(F.max("month_end_date").alias("month_end_date"))
+    holdings = _holdings(snapshot.join(latest, "month_end_date"), products, "as_of")
+
+    out = customers.select(KEY, *[c for c in CUSTOMER_COLUMNS if c not in LABEL_DERIVED_COLUMNS], F.explode(listed).alias("as_of"))
+    for part in (_totals_at(txn, dates, later), medians, merchants, balances, holdings):
+        out = out.join(part, ["as_of", KEY], "left")
+    return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)

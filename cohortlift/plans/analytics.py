@@ -63,6 +63,13 @@ class CampaignAnalytics:
         """One row per customer, written by the executors that computed it."""
         self.feature_matrix().write.mode("overwrite").parquet(path)
 
+    def write_feature_snapshots(self, path: str, as_of_dates: list[str]) -> None:
+        """The matrix at several dates, one partition per date; adaptive execution sizes the files, other dates in ``path`` stay."""
+        matrix = features.monthly_feature_snapshots(
+            self._txn, self._snapshot, self.tables["dim_customer"], self.tables["dim_product"], as_of_dates)
+        dated = quality.model_columns(matrix).hint("rebalance", "as_of")
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(path)
+
     def spend_profile(self) -> DataFrame:
         return profiles.spend_profile(self._txn, self.as_of)
 

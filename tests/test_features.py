@@ -114,11 +114,23 @@ def test_fused_matrix_equals_blocks_and_ignores_the_future(spark, star):
     assert "digital_engagement_flag" not in next(iter(fused.values()))
 
 
-def test_monthly_snapshots_equal_single_dates(spark, star):
-    dates = ["1999-01-01", "2000-06-01"]
-    got = f.monthly_feature_snapshots(star.fact_transaction, dates)
+def test_snapshots_equal_single_dates(spark, star):
+    args = (star.fact_account_monthly, star.dim_customer, star.dim_product)
+    dates = ["1993-01-31", "1999-01-01", "2000-06-15"]
+    got = f.monthly_feature_snapshots(star.fact_transaction, *args, dates[::-1])
+    assert got.count() == 3 * star.dim_customer.count()
     for d in dates:
-        want = by_key(f.transaction_features(star.fact_transaction, d))
+        want = by_key(f.feature_matrix(star.fact_transaction, *args, d))
         mine = by_key(got.where(f.F.col("as_of") == f.day(d)).drop("as_of"))
         assert sorted(mine) == sorted(want)
-        assert all(_near(row[c], want[k][c]) for k, row in mine.items() for c in row)
+        assert all(_near(row[c], want[k][c]) for k, row in mine.items() for c in row), d
+
+
+def test_snapshots_of_equal_amounts_have_no_spread(spark, txn_of):
+    txn = txn_of([buy(1, f"2026-{m:02d}-05", a=0.1) for m in range(1, 6)])
+    customers = spark.createDataFrame(
+        [(1, 30, 2, 1, "low", "salaried", "x"), (2, 30, 2, 1, "low", "salaried", "x")],
+        "customer_sk long, age int, tenure_years int, existing_product_count int, income_band string, employment string, city string")
+    products = spark.createDataFrame([], "product_sk long, product_name string")
+    got = by_key(f.monthly_feature_snapshots(txn, spark.createDataFrame([], BALANCE), customers, products, [DAY]))
+    assert [(got[k]["purchase_count"], got[k]["ticket_volatility_gel"], got[k]["total_spend_gel"]) for k in (1, 2)] == [(5, 0.0, 0.5), (0, 0.0, 0.0)]

@@ -95,6 +95,10 @@ def test_whole_campaign(spark, star, loaded, tmp_path):
     job.write_features(str(tmp_path / "features"))
     stored = spark.read.parquet(str(tmp_path / "features"))
     assert len(stored.columns) == 61 and stored.count() == star.dim_customer.count()
+    for dates in (["1999-01-01", "2000-06-15"], ["2000-06-15"]):
+        job.write_feature_snapshots(str(tmp_path / "dated"), dates)
+    dated = spark.read.parquet(str(tmp_path / "dated"))
+    assert len(dated.columns) == 62 and dated.count() == 2 * star.dim_customer.count()
     assert job.lift(round_digits=True).count() == 1 and job.arms().count() == 2
     assert job.separation_report(round_digits=True).count() == 4
     assert job.quality_report().count() == 10 and job.response_curve().count() > 5

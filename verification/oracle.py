@@ -170,18 +170,22 @@ _matrix_columns = (
        "spend_prior_3m", "txns_last_3m", "spend_momentum", "avg_balance_gel", "balance_volatility_gel", "min_balance_gel",
        "max_balance_gel", "months_negative", "balance_trend_gel", "balance_cv", "has_savings", "has_term_deposit",
        "has_loan", "has_credit_card", "products_held", "total_assets_gel", "total_liabilities_gel"])
-SQL["feature_matrix"] = with_star(
+_matrix_sql = (
     "SELECT customer_sk, age, tenure_years, existing_product_count, income_band, employment, city, "
     + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in _matrix_columns)
-    + " FROM dimc " + " ".join(f"LEFT JOIN f{i} USING (customer_sk)" for i in range(7)),
+    + " FROM dimc " + " ".join(f"LEFT JOIN f{i} USING (customer_sk)" for i in range(7)))
+_parts = (F_TXN, F_CAT, F_CHAN, F_INC, F_MOM, F_BAL, F_HOLD)
+SQL["feature_matrix"] = with_star(_matrix_sql, "txn", "snap", "prod", "dimc", **{f"f{i}": q for i, q in enumerate(_parts)})
+_dated = {"DATE '1998-03-20'": ("DATE '1997-12-20'", "DATE '1997-09-20'"), "DATE '1999-07-01'": ("DATE '1999-04-01'", "DATE '1999-01-01'"),
+          AS_OF: (_recent, _prior)}
+SQL["monthly_feature_snapshots"] = with_star(
+    " UNION ALL ".join(
+        f"SELECT {d} AS as_of, customer_sk, age, tenure_years, existing_product_count, income_band, employment, city, "
+        + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in _matrix_columns)
+        + " FROM dimc " + " ".join(f"LEFT JOIN f{i}_{k} USING (customer_sk)" for i in range(len(_parts))) for k, d in enumerate(_dated)),
     "txn", "snap", "prod", "dimc",
-    **{f"f{i}": q for i, q in enumerate((F_TXN, F_CAT, F_CHAN, F_INC, F_MOM, F_BAL, F_HOLD))})
-SQL["monthly_feature_snapshots"] = with_star(f"""
-    SELECT as_of, customer_sk, as_of - max(txn_date) AS recency_days, count(*) AS purchase_count,
-           {_d(f'sum({CENTS})')} / 100 AS total_spend_gel, {_d(f'sum({CENTS})')} / 100 / count(*) AS avg_ticket_gel,
-           {_d('max(amount_gel)')} AS max_ticket_gel, count(DISTINCT date_trunc('month', txn_date)) AS active_months
-    FROM txn JOIN (VALUES (DATE '1998-01-01'), (DATE '1999-07-01'), (DATE '2001-01-01')) v(as_of) ON txn_date < as_of
-    WHERE txn_type = 'purchase' GROUP BY as_of, customer_sk""", "txn")
+    **{f"f{i}_{k}": q.replace(AS_OF, d).replace(_recent, r).replace(_prior, p)
+       for k, (d, (r, p)) in enumerate(_dated.items()) for i, q in enumerate(_parts)})
 
 # ---- profiles ---------------------------------------------------------------------------------
 P_SPEND = "SELECT customer_sk, " + ", ".join(
@@ -476,15 +480,26 @@ SQL["clustering_agreement"] = with_star("""
           FROM (SELECT CAST(count(*) AS DOUBLE) AS t FROM dimc))""", "dimc", "persona",
     cells="SELECT income_band, persona, CAST(count(*) AS DOUBLE) AS n FROM dimc JOIN persona USING (customer_sk) GROUP BY 1, 2",
     a="SELECT income_band, sum(n) AS n, max(n) AS top FROM cells GROUP BY 1", b="SELECT persona, sum(n) AS n FROM cells GROUP BY 1")
-SQL["leak_scan"] = with_star("""
-    SELECT feature, CASE WHEN within = 0 THEN CAST('inf' AS DOUBLE) ELSE round((between_ / (k - 1)) / (within / (n - k)), 6) END AS f_statistic,
-           CAST(within = 0 AS INTEGER) AS leaked
-    FROM (SELECT feature, count(DISTINCT income_band) AS k, count(*) AS n, sum((gm - m) ** 2) AS between_, sum((x - gm) ** 2) AS within
+def _leaks(columns: list[str], source: str) -> str:
+    """One-way ANOVA over the bands; a column without any spread has F 0."""
+    names = ", ".join(columns)
+    values = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
+    return f"""
+    SELECT feature, CASE WHEN low = high THEN 0 WHEN within = 0 THEN CAST('inf' AS DOUBLE)
+                         ELSE round((between_ / (k - 1)) / (within / (n - k)), 6) END AS f_statistic,
+           CAST(within = 0 AND low < high AS INTEGER) AS leaked
+    FROM (SELECT feature, count(DISTINCT income_band) AS k, count(*) AS n, min(x) AS low, max(x) AS high,
+                 sum((gm - m) ** 2) AS between_, sum((x - gm) ** 2) AS within
           FROM (SELECT *, avg(x) OVER (PARTITION BY feature) AS m, avg(x) OVER (PARTITION BY feature, income_band) AS gm
-                FROM (SELECT income_band, feature, CAST(v AS DOUBLE) AS x FROM
-                      (UNPIVOT (SELECT income_band, age, tenure_years, existing_product_count, digital_engagement_flag FROM dimc)
-                       ON age, tenure_years, existing_product_count, digital_engagement_flag INTO NAME feature VALUE v)))
-          GROUP BY feature)""", "dimc")
+                FROM (SELECT income_band, feature, v AS x FROM
+                      (UNPIVOT (SELECT income_band, {values} FROM {source}) ON {names} INTO NAME feature VALUE v)))
+          GROUP BY feature)"""
+
+
+SQL["leak_scan"] = with_star(_leaks(["age", "tenure_years", "existing_product_count", "digital_engagement_flag"], "dimc"), "dimc")
+SQL["leak_scan_matrix"] = with_star(
+    _leaks(["age", "tenure_years", "existing_product_count", *_matrix_columns], f"({_matrix_sql})"), "txn", "snap", "prod", "dimc",
+    **{f"f{i}": q for i, q in enumerate(_parts)})
 U_BINS = f"""
     SELECT customer_sk, score, ntile(20) OVER (ORDER BY score DESC, customer_sk) AS bin
     FROM (SELECT customer_sk, CAST(acctbal AS DOUBLE) / 50000 + CAST({slot('c', 'score', 1000)} AS DOUBLE) / 10000 - CAST(0.05 AS DOUBLE) AS score FROM cust)"""

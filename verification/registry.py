@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from cohortlift.functions.expressions import hash_slot, rounded
 from cohortlift.operators import (
@@ -18,7 +19,7 @@ from verification import damage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RESTATED = "1995-07-01"
-SNAPSHOT_DATES = ("1998-01-01", "1999-07-01", "2001-01-01")
+SNAPSHOT_DATES = ("1998-03-20", "1999-07-01", "2001-01-01")
 SEGMENT_COLUMNS = ["purchase_count", "avg_ticket_gel", "distinct_merchants", "digital_value_share", "cash_value_share",
                    "avg_monthly_inflow_gel", "spend_momentum", "avg_balance_gel"]
 CONTACT_VALUE, CONTACT_COST = 250.0, 20.0
@@ -153,7 +154,8 @@ def feature_matrix(s):
 
 @query
 def monthly_feature_snapshots(s):
-    return features.monthly_feature_snapshots(s.fact_transaction, list(SNAPSHOT_DATES))
+    return _steady(features.monthly_feature_snapshots(
+        s.stored_transactions, s.fact_account_monthly, s.dim_customer, s.dim_product, list(SNAPSHOT_DATES)))
 
 
 # ---- profiles ---------------------------------------------------------------------------------
@@ -479,6 +481,14 @@ def leak_scan(s):
     return rounded(evaluation.leak_scan(s.dim_customer, columns, "income_band"), {"f_statistic": 6})
 
 
+@query
+def leak_scan_matrix(s):
+    """Every numeric column of the matrix against the income band."""
+    matrix = _matrix(s)
+    numbers = [f.name for f in matrix.schema if isinstance(f.dataType, NumericType) and f.name != "customer_sk"]
+    return rounded(evaluation.leak_scan(matrix, numbers, "income_band"), {"f_statistic": 6})
+
+
 def _scores(s):
     """A stand-in score, a function of the balance and the key."""
     noise = hash_slot(F.concat(F.col("c"), F.lit("score")), 1000)
