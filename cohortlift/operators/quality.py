@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.schema import KEYS, LABEL_DERIVED_COLUMNS, REFERENCES, RULES, SEALED_COLUMNS, TABLES, Key, Reference, Rule
+from cohortlift.schema import KEYS, LABEL_DERIVED_COLUMNS, LENGTHS, REFERENCES, RULES, SEALED_COLUMNS, TABLES, Key, Reference, Rule
 
 BALANCE_FLOOR = -500
 SHARE_TOLERANCE = 0.02
@@ -110,6 +110,12 @@ def rule_report(tables: dict[str, DataFrame]) -> DataFrame:
                    for t, df in tables.items() if any(r.table == t for r in RULES)])
 
 
+def length_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Texts longer than the contract allows, in characters, not bytes; a missing text is not too long."""
+    return _union([_one_pass(df, t, "length", {c: F.char_length(c) > n for c, n in LENGTHS[t].items()})
+                   for t, df in tables.items() if t in LENGTHS])
+
+
 def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Every declared constraint with its violations: one scan per table for row rules, one reduction per key."""
     rows = _union([not_null_report(tables), unique_report(tables), fk_report(tables), rule_report(tables)])

@@ -40,3 +40,10 @@ def with_other_keys(tables: Tables) -> Tables:
 def with_repeats(tables: Tables) -> Tables:
     """Rows whose first key column is odd come twice."""
     return {t: df.unionByName(df.where(F.col(TABLES[t].names[0]) % 2 == 1)) for t, df in tables.items()}
+
+
+def with_long_texts(tables: Tables) -> Tables:
+    """As many copies of each row as columns; in copies from k on, the text in column k is followed by a hundred letters of two bytes."""
+    return {t: _copies(df, TABLES[t].names).select(*[
+        F.when(F.col("_copy") >= i, F.concat(f.name, F.lit("é" * 100))).otherwise(F.col(f.name)).alias(f.name)
+        if f.dataType == StringType() else F.col(f.name) for i, f in enumerate(TABLES[t])]) for t, df in tables.items()}

@@ -279,6 +279,26 @@ for _name, _checks, _damage, _tables in (
     SQL[_name] = with_star(
         _checks({t: f"bad_{c}" for t, c in _tables.items()}), *STAR.values(), **RFM,
         segments=f"SELECT *, {AS_OF} AS snapshot_date FROM rfm", **{f"bad_{c}": _damage(t, c) for t, c in _tables.items()})
+# the limits once more, apart from those of the engine
+_limits = """dim_date month_name 12, dim_date day_name 12, dim_date year_month 7, dim_customer gender 1, dim_customer city 50,
+    dim_customer income_band 10, dim_customer employment 20, dim_product product_name 50, dim_product product_group 30,
+    dim_merchant merchant_name 60, dim_merchant mcc_category 20, dim_campaign campaign_name 100, dim_campaign contact_channel 20,
+    fact_transaction txn_type 20, fact_transaction direction 6, fact_transaction channel 20, fact_transaction mcc_category 20,
+    fact_campaign_response assignment 10, customer_rfm_snapshot rfm_segment 20"""
+
+
+def _long_sql(table: str, source: str) -> str:
+    texts = ", ".join(f"CASE WHEN k >= {i} THEN {f.name} || repeat('é', 100) ELSE {f.name} END AS {f.name}"
+                      for i, f in enumerate(TABLES[table]) if f.dataType.simpleString() == "string")
+    return f"SELECT {texts or '1 AS none'} FROM {source} CROSS JOIN range(0, {len(TABLES[table])}) r(k)"
+
+
+for _name, _prefix in (("length_report", ""), ("length_report_damaged", "long_")):
+    SQL[_name] = with_star(
+        " UNION ALL ".join(_line.format(t=t, k="length", r=c, q=f"{_prefix}{_contract[t]} WHERE length({c}) > {n}")
+                           for t, c, n in (x.split() for x in _limits.split(","))),
+        *STAR.values(), **RFM, segments=f"SELECT *, {AS_OF} AS snapshot_date FROM rfm",
+        **{f"long_{c}": _long_sql(t, c) for t, c in _contract.items()})
 _dq = {
     ("customers_without_transactions", "ERROR"): "FROM dimc WHERE customer_sk NOT IN (SELECT customer_sk FROM txn)",
     ("negative_transaction_amounts", "ERROR"): "FROM txn WHERE amount_gel < 0",

@@ -240,6 +240,16 @@ def rule_report_damaged(s):
     return quality.rule_report(damage.with_bad_values(s.tables()))
 
 
+@query
+def length_report(s):
+    return quality.length_report(_contract_tables(s))
+
+
+@query
+def length_report_damaged(s):
+    return quality.length_report(damage.with_long_texts(_contract_tables(s)))
+
+
 @query
 def dq_suite(s):
     return quality.dq_suite(s.tables(stored=True))
