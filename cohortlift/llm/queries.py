@@ -17,7 +17,9 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    plan = mixing.mixed(read(spark, sf_dir, "documents")).withColumn("first_position", F.get("positions", F.lit(0)))
+    plan = plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "first_position", "positions")
+    return plan.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

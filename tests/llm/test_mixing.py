@@ -80,3 +80,16 @@ def test_odd_cases(odd, nothing):
     assert out.count() == sum(r.copies for r in rows)
     zero = mixing.mixed(odd.where("doc_id in (1, 2)")).collect()
     assert [r.taken for r in zero] == [0, 0]
+
+
+def test_query_gives_the_positions_in_their_order(spark):
+    rows = queries.op3_mixing(spark, SMALL).collect()
+    expected = {(r.doc_id, r.size): list(r.positions) for r in mixing.mixed(read(spark, SMALL, "documents")).collect()}
+    assert len(rows) == read(spark, SMALL, "documents").count() and any(len(r.positions) > 1 for r in rows)
+    for r in rows:
+        assert list(r.positions) == expected[r.doc_id, r.size] and len(r.positions) == r.copies
+        assert r.first_position == (r.positions[0] if r.copies else None)
+    first = [2.0 if r.first_position is None else r.first_position for r in rows]
+    assert first == sorted(first)
+    copies = mixing.training_order(read(spark, SMALL, "documents")).collect()
+    assert sorted((r.doc_id, r.position) for r in copies) == sorted((r.doc_id, p) for r in rows for p in r.positions)
