@@ -27,8 +27,18 @@ WITH d AS (
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), n AS (
   SELECT *, whole + CASE WHEN size > 0 AND off + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END AS copies FROM c
+), u AS (
+  SELECT *, CASE WHEN target > 0 THEN least((off + k * source_size) / target, 1.0::DOUBLE) ELSE 0 END::DOUBLE AS share
+  FROM (SELECT *, unnest(range(0, copies)) AS k FROM n)
+), v AS (
+  SELECT doc_id, size, off, k, round(CASE kind WHEN 0 THEN (share * 2) / (1.5 + sqrt(2.25 - 2 * share)) WHEN 1 THEN share
+    ELSE CASE WHEN share * 1.0 <= 0.3125 THEN (share * 2) / (0.5 + sqrt(0.25 + share)) ELSE 0.5 + 2 * (share - 0.3125) / (0.75 + sqrt(0.5625 + 5 * (share - 0.3125))) END
+    END::DOUBLE, 6) AS position FROM u
+), o AS (
+  SELECT doc_id, size, off, min(position) AS first_position, string_agg(printf('%.6f', position), ',' ORDER BY k) AS positions FROM v GROUP BY ALL
 )
-SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken FROM n
+SELECT n.doc_id, n.size, source_size, target, (copies * n.size)::BIGINT AS taken, copies::BIGINT AS copies, first_position, coalesce(positions, '') AS positions
+FROM n LEFT JOIN o ON n.doc_id IS NOT DISTINCT FROM o.doc_id AND n.size = o.size AND n.off = o.off
 """
 
 DECONTAMINATION = rf"""

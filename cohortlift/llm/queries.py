@@ -18,7 +18,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mixed(read(spark, sf_dir, "documents")).withColumn("first_position", F.get("positions", F.lit(0)))
-    plan = plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "first_position", "positions")
+    listed = F.array_join(F.transform("positions", lambda p: F.format_string("%.6f", p)), ",").alias("positions")
+    plan = plan.select("doc_id", "size", "source_size", "target", "taken", "copies", "first_position", listed)
     return plan.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
 
 

@@ -35,9 +35,10 @@ CLASSES = (
     CharClass("entropy_hex", "[0-9A-Fa-f]", "0123456789ABCDEFabcdef", 20, 3.0),
     CharClass("entropy_base64", "[0-9A-Za-z+/_=-]", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-", 20, 3.9),
 )
-#: Candidate strings that are no secrets: words and names of letters, paths or lists of such, numbers, rulers, UUIDs, placeholders.
+#: Candidate strings that are no secrets: words and names of letters, paths or lists of such, numbers, rulers, UUIDs, placeholders. No pattern
+#: repeats a group: the regular expressions of the JVM recurse there, and a long candidate would use up the stack.
 ALLOWED = (
-    r"^[A-Za-z]?[a-z]*([/_=+-]+[A-Za-z]?[a-z]*)*$", r"^[A-Z]+([/_=+-]+[A-Z]+)*$", r"^[0-9/_=+-]+$",
+    r"^(?!.*[A-Za-z][A-Z])[A-Za-z/_=+-]*$", r"^(?=[A-Z])[A-Z/_=+-]*[A-Z]$", r"^[0-9/_=+-]+$",
     r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", r"(?i)example|placeholder|changeme|0123456789|abcdefgh",
 )
 #: Sums of match lengths are taken in steps of so many, so that a text with very many matches stays cheap.

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.llm.common import columns
+from cohortlift.llm.common import columns, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -58,7 +58,7 @@ def subwords(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(words_of), (np.concatenate(grams) % np.uint64(s.buckets)).astype(np.int64)
 
 
-def passages(text: str | None) -> list[str]:
+def words_in(text: str | None) -> list[str]:
     """The lower-case words of a whole text, in order."""
     return WORD.findall(text.lower()) if text else []
 
@@ -71,11 +71,11 @@ def train(texts: list[str | None], toxic: np.ndarray, s: Settings) -> np.ndarray
     to choose by). Embeddings and layer are learnt together by Adam over all documents of the sample; classes count alike.
     """
     rng = np.random.default_rng(s.seed)
-    in_documents = Counter(w for text in texts for w in set(passages(text)))
+    in_documents = Counter(w for text in texts for w in set(words_in(text)))
     number: dict[str, int] = {}
     tokens, owner, sizes = [], [], []
     for d, text in enumerate(texts):
-        words = [w for w in passages(text) if in_documents[w] >= s.least_documents]
+        words = [w for w in words_in(text) if in_documents[w] >= s.least_documents]
         for i in range(0, len(words), s.passage):
             part = words[i : i + s.passage]
             tokens.extend(number.setdefault(w, len(number)) for w in part)
@@ -136,7 +136,7 @@ class Scorer:
             self.known.update(zip(new, means.tolist(), strict=True))
 
     def score(self, text: str | None) -> float:
-        words = passages(text)
+        words = words_in(text)
         if not words:
             return float(1 / (1 + np.exp(-np.clip(min(self.bias, 0.0), -50, 0))))
         self.learn(words)
@@ -161,8 +161,10 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> np.ndar
     share = F.lit(0.0)
     for label, rows in n.items():
         share = F.when(F.col("toxic") == label, min(1.0, s.sample / rows)).otherwise(share)
-    chosen = labelled.where(draw <= share)
-    sample = columns(docs, doc_id="doc_id", text="text").join(chosen, "doc_id")
+    chosen = stored(labelled.where(draw <= share))
+    # about `sample` ids a class: with that many the texts stay where they are, else (never yet seen) the join shuffles
+    few = chosen.count() <= 2 * s.sample * max(1, len(n))
+    sample = columns(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen) if few else chosen, "doc_id")
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "text"], na_position="first")

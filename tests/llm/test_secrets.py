@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -57,6 +58,26 @@ def test_odd_texts(spark, odd, nothing):
     assert secret_scan.secrets(nothing).count() == 0
 
 
+def test_allowed_names_are_those_of_segments():
+    """The two patterns without loops against the plain ones with them."""
+    plain = (r"^[A-Za-z]?[a-z]*([/_=+-]+[A-Za-z]?[a-z]*)*$", r"^[A-Z]+([/_=+-]+[A-Z]+)*$")
+    strings = ["".join(p) for n in range(7) for p in itertools.product("aB/", repeat=n)] + ["a-B_c=D", "AB--C", "-AB", "AB-", "a1", "A1", "/", "--", "Ab/Cd", "aB", "AB/cD"]
+    for s in strings:
+        for a, b in zip(plain, secret_scan.ALLOWED, strict=False):
+            assert bool(re.search(a, s)) == bool(re.search(b, s)), (a, s)
+
+
+def test_very_long_candidates(spark):
+    """Strings of 100,000 characters of words and separators neither end the session nor count as secrets; a key behind them does."""
+    key = "q8Zr4Kx0Lm2Wv7Tn5Yb1Hc9Jd3Fg6Sp0A"
+    texts = ["a/" * 50_000, "A_" * 50_000, "Ab-" * 33_000 + "C", "=" * 100_000, "aB/" * 33_000, "a/" * 3_000 + " " + key]
+    rows = {r.doc_id: r for r in secret_scan.secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [rows[i].spans for i in (0, 1, 2, 3)] == [""] * 4
+    assert rows[5].spans.startswith("entropy_base64:6001:")
+    assert rows[4].n_assign == 0
+    assert secret_scan.redacted(spark.createDataFrame([(1, texts[0])], "doc_id long, text string")).first().text == texts[0]
+
+
 def test_redaction(spark, odd):
     key = "AKIA12345678901234"
     docs = spark.createDataFrame([(1, f"é {key} and password={key} end", 9, "s"), (2, "clean text", 10, "t"), (3, None, None, None)], "doc_id long, text string, n_chars int, s string")
