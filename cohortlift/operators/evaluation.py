@@ -5,7 +5,7 @@ Together with ``campaign.truth_in_interval`` the only code meant to see sealed l
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlift.functions.expressions import ratio
@@ -63,13 +63,14 @@ def leak_scan(df: DataFrame, features: list[str], label: str) -> DataFrame:
                  F.min(x).alias("low"), F.max(x).alias("high")).alias(f"f{i}")
         for i, (f, x) in enumerate((f, F.col(f).cast("double")) for f in features)])
     groups = wide.select("label", F.inline(F.array(*[F.col(f"f{i}") for i in range(len(features))]))).where("n > 0")
-    n = F.col("n").cast("double")
+    n, of_feature = F.col("n").cast("double"), Window.partitionBy("feature")
+    # deviations of group means are taken around the grand mean: squares of large means would cancel
+    groups = groups.withColumn("grand", F.sum(n * F.col("mean")).over(of_feature) / F.sum(n).over(of_feature))
     pooled = groups.groupBy("feature").agg(
-        F.sum(n).alias("total"), F.count(F.lit(1)).alias("k"), F.sum(n * F.col("mean")).alias("sx"),
-        F.sum(n * F.col("mean") * F.col("mean")).alias("sxx"), (F.min("low") == F.max("high")).alias("flat"),
+        F.sum(n).alias("total"), F.count(F.lit(1)).alias("k"), F.sum(n * F.pow(F.col("mean") - F.col("grand"), 2)).alias("between"),
+        (F.min("low") == F.max("high")).alias("flat"),
         F.sum(F.when(F.col("low") == F.col("high"), 0.0).otherwise(n * F.col("var"))).alias("within"))
-    between = F.when(F.col("flat"), 0.0).otherwise(F.greatest(
-        F.col("sxx") - F.col("sx") * F.col("sx") / F.col("total"), F.lit(0.0)))
+    between = F.when(F.col("flat"), 0.0).otherwise(F.col("between"))
     df_between, df_within = F.col("k") - 1, F.col("total") - F.col("k")
     f_stat = F.when(between == 0, F.lit(0.0)).when(F.col("within") == 0, F.lit(float("inf"))).otherwise(
         ratio(ratio(between, df_between), ratio(F.col("within"), df_within)))

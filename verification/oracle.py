@@ -154,6 +154,23 @@ F_HOLD = f"""
            abs(COALESCE({_d('sum(balance_gel) FILTER (WHERE balance_gel < 0)')}, 0)) AS total_liabilities_gel
     FROM snap JOIN prod USING (product_sk)
     WHERE month_end_date = (SELECT max(month_end_date) FROM snap WHERE month_end_date < {AS_OF}) GROUP BY customer_sk"""
+
+
+def _unrounded(sql: str) -> str:
+    """The same feature SQL with its deviations as they are: the outer round(x, n) taken off."""
+    out, at = "", 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, i, comma = 0, start + 5, -1
+        while True:
+            depth += (sql[i] == "(") - (sql[i] == ")")
+            comma = i if sql[i] == "," and depth == 1 else comma
+            if depth == 0:
+                break
+            i += 1
+        out, at = out + sql[at:start] + "(" + sql[start + 6:comma] + ")", i + 1
+    return out + sql[at:]
+
+
 SQL["transaction_features"] = with_star(F_TXN, "txn")
 SQL["category_shares"] = with_star(F_CAT, "txn")
 SQL["channel_features"] = with_star(F_CHAN, "txn")
@@ -519,7 +536,7 @@ def _leaks(columns: list[str], source: str) -> str:
 SQL["leak_scan"] = with_star(_leaks(["age", "tenure_years", "existing_product_count", "digital_engagement_flag"], "dimc"), "dimc")
 SQL["leak_scan_matrix"] = with_star(
     _leaks(["age", "tenure_years", "existing_product_count", *_matrix_columns], f"({_matrix_sql})"), "txn", "snap", "prod", "dimc",
-    **{f"f{i}": q for i, q in enumerate(_parts)})
+    **{f"f{i}": _unrounded(q) for i, q in enumerate(_parts)})
 U_BINS = f"""
     SELECT customer_sk, score, ntile(20) OVER (ORDER BY score DESC, customer_sk) AS bin
     FROM (SELECT customer_sk, CAST(acctbal AS DOUBLE) / 50000 + CAST({slot('c', 'score', 1000)} AS DOUBLE) / 10000 - CAST(0.05 AS DOUBLE) AS score FROM cust)"""

@@ -19,6 +19,7 @@ def _nth(values: list[str], index: str) -> str:
     return f"CASE {index} " + " ".join(f"WHEN {i} THEN {v!r}" for i, v in enumerate(values)) + " END"
 
 
+# Spending categories with their merchant codes, and channels.
 CATS = ["groceries", "dining", "ecommerce", "entertainment", "transport",
         "fuel", "utilities", "healthcare", "retail", "travel"]
 MCC = [5411, 5812, 5399, 7832, 4111, 5541, 4900, 8011, 5651, 4722]
