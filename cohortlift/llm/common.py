@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one for files of a query; it goes when the driver ends."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
+    return folder
+
+
 def columns(df: DataFrame, **named: str) -> DataFrame:
     """Only the given columns, under private names; others, whatever they are called, stay out."""
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in named.items()))

@@ -82,4 +82,54 @@ SELECT page_id, strlen(p.t)::BIGINT AS payload_bytes, {_BASE32} AS payload_diges
 FROM p JOIN f ON p.t = f.t
 """
 
-SQL = {"op3_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op7_warc": WARC}
+_CRC_BYTES = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)"
+_CRC_STEPS = f"flatten(list_transform({_CRC_BYTES}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))"
+#: crc32 bit by bit: a byte goes in, then eight shifts, marked by -1.
+_CRC = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {_CRC_STEPS}), lambda c, o: CASE WHEN o >= 0 THEN xor(c, o) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
+
+
+MERKLE = f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf, CASE WHEN {_CRC} % 5 = 0 THEN {_leaf(LOWER.format('text'))} ELSE {_leaf('text')} END AS other,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM documents
+), up(l, source, pos, n, node) AS (
+  SELECT 0, source, pos, n, leaf FROM base
+  UNION ALL
+  SELECT any_value(l) + 1, source, pos // 16, any_value((n + 15) // 16), sha256(string_agg(node, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY source, pos // 16
+), sub AS (
+  SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+), high(l, pos, n, node) AS (
+  SELECT 100, pos, n, subroot FROM sub
+  UNION ALL
+  SELECT any_value(l) + 1, pos // 16, any_value((n + 15) // 16), sha256(string_agg(node, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY pos // 16
+), near AS (
+  SELECT b.doc_id, u.l, u.pos, u.node, b.pos // (1::BIGINT << (4 * u.l)) AS own FROM base b JOIN up u
+    ON b.source IS NOT DISTINCT FROM u.source AND u.n > 1 AND u.pos // 16 = b.pos // (1::BIGINT << (4 * u.l + 4))
+  UNION ALL
+  SELECT b.doc_id, h.l, h.pos, h.node, s.pos // (1::BIGINT << (4 * (h.l - 100))) FROM base b JOIN sub s ON b.source IS NOT DISTINCT FROM s.source
+    JOIN high h ON h.n > 1 AND h.pos // 16 = s.pos // (1::BIGINT << (4 * (h.l - 100) + 4))
+), proof AS (
+  SELECT doc_id, string_agg(node, '' ORDER BY l, pos) FILTER (WHERE pos <> own) AS p FROM near GROUP BY doc_id
+), steps AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY l) AS k, lhs, rhs FROM (
+    SELECT doc_id, l, coalesce(string_agg(node, '' ORDER BY pos) FILTER (WHERE pos < own), '') AS lhs, coalesce(string_agg(node, '' ORDER BY pos) FILTER (WHERE pos > own), '') AS rhs
+    FROM near GROUP BY doc_id, l)
+), folded(doc_id, k, node) AS (
+  SELECT doc_id, 0::BIGINT, other FROM base
+  UNION ALL
+  SELECT f.doc_id, s.k, sha256(s.lhs || f.node || s.rhs) FROM folded f JOIN steps s ON f.doc_id = s.doc_id AND s.k = f.k + 1
+), ends AS (
+  SELECT doc_id, arg_max(node, k) AS folded_root FROM folded GROUP BY doc_id
+), top AS (
+  SELECT node AS root FROM high WHERE n = 1
+)
+SELECT b.doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM base b JOIN sub s ON b.source IS NOT DISTINCT FROM s.source CROSS JOIN top JOIN ends e ON e.doc_id = b.doc_id LEFT JOIN proof p ON p.doc_id = b.doc_id
+"""
+
+SQL = {"op13_merkle": MERKLE, "op3_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op7_warc": WARC}

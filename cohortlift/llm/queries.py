@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlift.llm import decontamination, licenses, mixing, quality, secret_scan, simhash, substrings, toxicity, urls, warc
-from cohortlift.llm.common import read
+from cohortlift.llm import decontamination, licenses, merkle, mixing, quality, secret_scan, simhash, substrings, token_store, toxicity, urls, warc
+from cohortlift.llm.common import own_folder, read
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +56,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = read(spark, sf_dir, "documents"), own_folder(spark, "tokens")
+    token_store.write(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_store.digests(token_store.read(spark, folder, docs.schema["doc_id"].dataType.simpleString()))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_simhash, op2_substrings, op3_mixing, op4_decontamination, op5_secrets, op6_quality, op7_warc, op8_urls, op9_licenses, op10_toxicity)
+        op1_simhash, op2_substrings, op3_mixing, op4_decontamination, op5_secrets, op6_quality, op7_warc, op8_urls, op9_licenses, op10_toxicity,
+        op11_tokens, op13_merkle)
 }
