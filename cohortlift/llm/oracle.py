@@ -132,4 +132,28 @@ SELECT b.doc_id, leaf, subroot, root, sha256(coalesce(p, '')) AS proof_sha256, f
 FROM base b JOIN sub s ON b.source IS NOT DISTINCT FROM s.source CROSS JOIN top JOIN ends e ON e.doc_id = b.doc_id LEFT JOIN proof p ON p.doc_id = b.doc_id
 """
 
-SQL = {"op13_merkle": MERKLE, "op3_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op7_warc": WARC}
+_TERMS = f"regexp_extract_all({LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+SEARCH = f"""
+WITH p AS (
+  SELECT doc_id, unnest({_TERMS}) AS t FROM documents
+), f AS (
+  SELECT doc_id, t, count(*) AS tf FROM p GROUP BY doc_id, t
+), n AS (
+  SELECT doc_id, count(*) AS n FROM p GROUP BY doc_id
+), s AS (
+  SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM n
+), q AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark
+), w AS (
+  SELECT t, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY t, nn
+), x AS (
+  SELECT item_id, f.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))))::BIGINT AS score
+  FROM q JOIN f ON q.t = f.t JOIN w ON w.t = f.t JOIN n ON n.doc_id = f.doc_id CROSS JOIN s GROUP BY item_id, f.doc_id
+), r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM x WHERE score > 0
+)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+SQL = {"op12_search": SEARCH, "op13_merkle": MERKLE, "op3_mixing": MIXING, "op4_decontamination": DECONTAMINATION, "op7_warc": WARC}

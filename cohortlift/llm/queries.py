@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlift.llm import decontamination, licenses, merkle, mixing, quality, secret_scan, simhash, substrings, token_store, toxicity, urls, warc
+from cohortlift.llm import decontamination, licenses, merkle, mixing, quality, search, secret_scan, simhash, substrings, token_store, toxicity, urls, warc
 from cohortlift.llm.common import own_folder, read
 
 
@@ -62,6 +62,10 @@ def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digests(token_store.read(spark, folder, docs.schema["doc_id"].dataType.simpleString()))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read(spark, sf_dir, "documents"))
 
@@ -70,5 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_substrings, op3_mixing, op4_decontamination, op5_secrets, op6_quality, op7_warc, op8_urls, op9_licenses, op10_toxicity,
-        op11_tokens, op13_merkle)
+        op11_tokens, op12_search, op13_merkle)
 }
