@@ -42,7 +42,7 @@ def campaign_arms(responses: DataFrame) -> DataFrame:
     )
 
 
-def _difference_error(p_t: Column, n_t: Column, p_c: Column, n_c: Column) -> Column:
+def difference_error(p_t: Column, n_t: Column, p_c: Column, n_c: Column) -> Column:
     """Standard error of a difference of two independent proportions; NULL if an arm is empty."""
     return F.sqrt(ratio(p_t * (1 - p_t), n_t) + ratio(p_c * (1 - p_c), n_c))
 
@@ -61,7 +61,7 @@ def campaign_lift(responses: DataFrame, round_digits: bool = False) -> DataFrame
     col = F.col
     lift = (
         arms.withColumn("incremental_rate", col("treatment_rate") - col("control_rate"))
-        .withColumn("std_error", _difference_error(col("treatment_rate"), col("treated"), col("control_rate"), col("control")))
+        .withColumn("std_error", difference_error(col("treatment_rate"), col("treated"), col("control_rate"), col("control")))
         .withColumn("ci_low", col("incremental_rate") - Z_95 * col("std_error"))
         .withColumn("ci_high", col("incremental_rate") + Z_95 * col("std_error"))
         .withColumn("incremental_conversions", col("incremental_rate") * col("treated"))
@@ -102,7 +102,7 @@ def campaign_lift_by_segment(responses: DataFrame, snapshot: DataFrame, campaign
         .select("assignment", "responded", F.coalesce("rfm_segment", F.lit(NO_HISTORY)).alias("segment")))
     col = F.col
     gap = col("treatment_rate") - col("control_rate")
-    margin = Z_95 * _difference_error(col("treatment_rate"), col("n_t"), col("control_rate"), col("n_c"))
+    margin = Z_95 * difference_error(col("treatment_rate"), col("n_t"), col("control_rate"), col("n_c"))
     out = (
         _arms_by(tagged, "segment")
         .withColumns({"incremental_rate": gap, "ci_low": gap - margin, "ci_high": gap + margin})

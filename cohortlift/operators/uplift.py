@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortlift.functions.expressions import ratio
 from cohortlift.operators.ranking import ntile_global
+from cohortlift.operators.running import POSITION, running_totals
 from cohortlift.session import materialise
 
 
@@ -84,6 +85,27 @@ def targeting_plan(binned: DataFrame, score: str, value: float, cost: float) ->
         "cumulative_profit", F.sum(F.when(F.col("contact") == 1, F.col("expected_profit")).otherwise(0.0)).over(upto))
 
 
+#: Money in row-grain totals: whole ten-thousandths, so that their sums are the same on every partitioning.
+UNIT = 10_000
+
+
+def targeting_cutoff(scores: DataFrame, score: str, value: float, cost: float, budget: float | None = None, key: str = "customer_sk") -> DataFrame:
+    """Every customer in order of uplift, with the running totals of cost and expected profit, and whether to contact them.
+
+    Contacted is the shortest run of best customers whose total profit is the highest there is, as far as the ``budget`` goes; none if no
+    run earns anything. A customer without a score comes last and is expected to bring nothing.
+    """
+    units = lambda amount: F.round(amount * UNIT).cast("long")
+    gain = units(F.coalesce(F.col(score), F.lit(0.0)) * value) - units(F.lit(float(cost)))
+    rows = scores.select(key, score, gain.alias("gain"), units(F.lit(float(cost))).alias("paid"))
+    ranked = materialise(running_totals(rows, [score, key], {"profit": "gain", "spent": "paid"}, descending=[score]))
+    affordable = ranked if budget is None else ranked.where(F.col("spent") <= int(round(budget * UNIT)))
+    best = affordable.where("profit > 0").agg(F.max(F.struct(F.col("profit"), -F.col(POSITION))).alias("b")).select(-F.col("b")["col2"]).scalar()
+    gel = lambda c: (F.col(c) / UNIT).alias(f"{c}_gel")
+    return ranked.select(
+        key, POSITION, score, gel("gain"), gel("spent"), gel("profit"), (F.col(POSITION) <= F.coalesce(best, F.lit(0))).cast("int").alias("contact"))
+
+
 def budget_table(plan: DataFrame, cost: float, budgets: list[float]) -> DataFrame:
     """What each budget buys: whole bins from the best down, as far as the money and the plan go; nothing is a row of zeros."""
     upto = Window.orderBy("bin")

@@ -12,6 +12,7 @@ from cohortlift.operators import campaign, features, profiles, quality, rfm
 from cohortlift.operators.merge import VersionedTable
 from cohortlift.plans.load import read_star
 from cohortlift.schema import TABLES
+from cohortlift.sources.lineage import require_sources
 
 
 def campaign_start(campaigns: DataFrame, campaign_sk: int) -> dt.date:
@@ -32,11 +33,13 @@ class CampaignAnalytics:
     tables: dict[str, DataFrame]
     campaign_sk: int
     as_of: dt.date
+    #: Where the observable tables lie; feature matrices are only written if they read nothing else.
+    root: str | None = None
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, campaign_sk: int) -> CampaignAnalytics:
         tables = read_star(spark, root)
-        return cls(tables, campaign_sk, campaign_start(tables["dim_campaign"], campaign_sk))
+        return cls(tables, campaign_sk, campaign_start(tables["dim_campaign"], campaign_sk), root)
 
     @property
     def _txn(self) -> DataFrame:
@@ -61,13 +64,17 @@ class CampaignAnalytics:
 
     def write_features(self, path: str) -> None:
         """One row per customer, written by the executors that computed it."""
-        self.feature_matrix().write.mode("overwrite").parquet(path)
+        self._gated(self.feature_matrix()).write.mode("overwrite").parquet(path)
+
+    def _gated(self, matrix: DataFrame) -> DataFrame:
+        """``matrix``, unless it reads anything but the tables of the star: labels lie elsewhere."""
+        return matrix if self.root is None else require_sources(matrix, [f"{self.root}/{t}{end}" for t in self.tables for end in ("", ".parquet")])
 
     def write_feature_snapshots(self, path: str, as_of_dates: list[str]) -> None:
         """The matrix at several dates, one partition per date; adaptive execution sizes the files, other dates in ``path`` stay."""
         matrix = features.monthly_feature_snapshots(
             self._txn, self._snapshot, self.tables["dim_customer"], self.tables["dim_product"], as_of_dates)
-        dated = quality.model_columns(matrix).hint("rebalance", "as_of")
+        dated = self._gated(quality.model_columns(matrix)).hint("rebalance", "as_of")
         dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(path)
 
     def spend_profile(self) -> DataFrame:

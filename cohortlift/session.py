@@ -51,14 +51,28 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder below the shared one; it is needed as long as frames built on it are, so it goes when the driver ends."""
+    path = f"{scratch_root(spark)}/cohortlift/{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
+    return path
+
+
+_stored: dict[str, DataFrame] = {}
+
+
+def stored_from(path: str) -> DataFrame | None:
+    """The frame that ``materialise`` stored at ``path``; None for any other path."""
+    return _stored.get(path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, for results used by several passes.
 
     The written table survives the loss of executors and carries file statistics.
     """
-    path = f"{scratch_root(df.sparkSession)}/cohortlift/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    # The table is needed as long as frames built on it are: it goes when the driver ends.
-    jvm_path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jvm_path)
+    _stored[path.removeprefix("file:").replace("//", "/") if "://" not in path or path.startswith("file:") else path] = df
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,7 +19,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def star(spark):
-    from cohortlift.sources.adapter import TestStar
+    from verification.adapter import TestStar
 
     return TestStar(spark, "/root/testdata/sf0.001")
 

@@ -20,7 +20,7 @@ def responses(spark, arms):
 
 
 def test_golden_lift(spark):
-    from cohortlift.sources.adapter import TestStar
+    from verification.adapter import TestStar
     got = campaign.campaign_lift(TestStar(spark, "/root/testdata/sf0.01").fact_campaign_response, round_digits=True).first()
     assert (got["treated"], got["control"], got["naive_conversions"], got["significant"]) == (848, 364, 268, "YES")
     assert (got["incremental_rate"], got["std_error"], got["ci_low"], got["ci_high"]) == (0.0688, 0.0277, 0.0145, 0.123)

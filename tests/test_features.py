@@ -5,7 +5,7 @@ import pytest
 
 from cohortlift.operators import features as f
 from cohortlift.operators import profiles
-from cohortlift.sources.adapter import AS_OF
+from verification.adapter import AS_OF
 from tests.conftest import by_key
 
 DAY = "2026-05-31"

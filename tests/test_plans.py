@@ -10,7 +10,7 @@ from cohortlift.plans.analytics import CampaignAnalytics, campaign_start
 from cohortlift.plans.load import load_star, read_star
 from cohortlift.schema import TABLES
 from cohortlift.sources import star as store
-from cohortlift.sources.adapter import AS_OF
+from verification.adapter import AS_OF
 from tests.conftest import by_key
 
 

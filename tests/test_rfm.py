@@ -27,7 +27,7 @@ def test_base_is_strictly_before(spark, txn_of):
 
 
 def test_golden_segment_report(spark):
-    from cohortlift.sources.adapter import AS_OF, TestStar
+    from verification.adapter import AS_OF, TestStar
     star = TestStar(spark, "/root/testdata/sf0.01")
     report = rfm.rfm_segment_report(rfm.customer_rfm(star.fact_transaction, AS_OF), round_digits=True).collect()
     assert sum(r["customers"] for r in report) == 1497

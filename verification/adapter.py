@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,8 @@ from cohortlift.session import materialise
 AS_OF = dt.date(2001, 1, 1)
 SNAPSHOT_START = dt.date(2000, 2, 1)
 SNAPSHOT_MONTHS = 12
+#: All campaigns: key, start, and what sets the draws of their customers apart. The first is that of the single-campaign queries.
+CAMPAIGNS = ((1, AS_OF, ""), (2, dt.date(1998, 3, 20), "k2"), (3, dt.date(1996, 11, 1), "k3"))
 HOLDING_PERCENT = {1: 100, 2: 100, 3: 20, 4: 40, 5: 20, 6: 25}
 PURCHASE_CHANNEL = {
     "1-URGENT": "pos", "2-HIGH": "ecommerce", "3-MEDIUM": "mobile_app",
@@ -112,18 +114,32 @@ class TestStar:
 
     @cached_property
     def fact_campaign_response(self) -> DataFrame:
+        return self._responses(1, AS_OF, "")
+
+    @cached_property
+    def campaign_responses(self) -> DataFrame:
+        """The responses to all campaigns."""
+        return reduce(DataFrame.unionByName, [self._responses(*c) for c in CAMPAIGNS])
+
+    @cached_property
+    def dim_campaigns(self) -> DataFrame:
+        """All campaigns, each with its own start."""
+        return reduce(DataFrame.unionByName, [
+            dimensions.campaign_dim(self.dim_product, start, f"Campaign {sk}", "mobile_app", campaign_sk=sk) for sk, start, _ in CAMPAIGNS])
+
+    def _responses(self, campaign_sk: int, start: dt.date, salt: str) -> DataFrame:
         eligible = campaign.campaign_eligible(self._customer, self.holdings, target_product_sk=3)
         c = F.col("c")
-        treated = _slot(c, "arm") < 70
-        responded = _slot(c, "resp") < F.when(treated, 32).otherwise(22)
+        treated = _slot(c, f"arm{salt}") < 70
+        responded = _slot(c, f"resp{salt}") < F.when(treated, 32).otherwise(22)
         base = eligible.select(
-            "customer_sk", F.lit(1).cast("long").alias("campaign_sk"),
+            "customer_sk", F.lit(campaign_sk).cast("long").alias("campaign_sk"),
             F.when(treated, "treatment").otherwise("control").alias("assignment"),
             treated.cast("int").alias("contacted"),
-            F.when(treated, F.date_add(day(AS_OF), (_slot(c, "c") % 10).cast("int"))).alias("contact_date"),
+            F.when(treated, F.date_add(day(start), (_slot(c, "c") % 10).cast("int"))).alias("contact_date"),
             responded.cast("int").alias("responded"), "c")
-        waited = F.date_add("contact_date", (_slot(c, "d") % 60 + 1).cast("int"))
-        organic = F.date_add(day(AS_OF), (_slot(c, "g") % 70).cast("int"))
+        waited = F.date_add("contact_date", (_slot(c, f"d{salt}") % 60 + 1).cast("int"))
+        organic = F.date_add(day(start), (_slot(c, "g") % 70).cast("int"))
         hit = F.col("responded") == 1
         dated = base.withColumn("response_date", F.when(hit, F.coalesce(waited, organic)))
         return dated.select(

@@ -25,7 +25,7 @@ STAR = {"fact_transaction": "txn", "fact_account_monthly": "snap", "fact_campaig
         "dim_merchant": "dimm", "dim_date": "dimd", "dim_product": "dimp", "dim_campaign": "dimk"}
 CTES["dimp"] = (("prod",), "SELECT product_sk, product_name, product_group, CAST(product_sk = 3 AS INTEGER) AS is_campaign_target FROM prod")
 CTES["dimk"] = ((), """
-    SELECT CAST(1 AS BIGINT) AS campaign_sk, 'x' AS campaign_name, CAST(3 AS BIGINT) AS target_product_sk, DATE '2001-01-01' AS start_date,
+    SELECT CAST(1 AS BIGINT) AS campaign_sk, 'Credit Card Cross-Sell' AS campaign_name, CAST(3 AS BIGINT) AS target_product_sk, DATE '2001-01-01' AS start_date,
            DATE '2001-01-11' AS end_date, DATE '2001-03-12' AS measurement_end_date, 'mobile_app' AS contact_channel,
            CAST(2.5 AS DECIMAL(8,2)) AS cost_per_contact_gel, CAST(0.7 AS DECIMAL(4,3)) AS treatment_share""")
 
@@ -35,6 +35,35 @@ SQL["dim_merchant"] = with_star("SELECT * FROM dimm", "dimm")
 SQL["table_counts"] = with_star(" UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows FROM {c}" for t, c in STAR.items()), *STAR.values())
 
+
+
+def _prints(table: str, source: str, part: str) -> str:
+    """Rows and content of a table, summed from the MD5 of its rows in two parts of 32 bits."""
+    row = " || ".join(f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in TABLES[table].names)
+    half = lambda at: f"coalesce(sum(('0x' || substr(d, {at}, 8))::BIGINT), 0)::VARCHAR"
+    return (f"SELECT '{table}' AS table_name, part, count(*) AS rows, {half(1)} || '-' || {half(9)} AS fingerprint "
+            f"FROM (SELECT {part} AS part, md5({row}) AS d FROM {source}) GROUP BY part")
+
+
+_month = "CAST(date_trunc('month', txn_date) AS DATE)"
+SQL["manifest"] = with_star(" UNION ALL ".join(
+    _prints(t, c, _month if t == "fact_transaction" else "CAST(NULL AS DATE)") for t, c in STAR.items()), *STAR.values())
+_members = {"dim_date": "(SELECT count(*) FROM dimd WHERE date_sk = 0)", "dim_merchant": "(SELECT count(*) FROM dimm WHERE merchant_sk = 0)"}
+SQL["staged_load"] = with_star(" UNION ALL ".join(
+    f"SELECT table_name, rows, fingerprint, {f'(SELECT count(DISTINCT {_month}) FROM txn)' if t == 'fact_transaction' else 0} AS months, "
+    f"{_members.get(t, 0)} AS unknown_members FROM ({_prints(t, c, '1')})" for t, c in STAR.items()), *STAR.values())
+
+
+def _extremes(table: str, source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, count(*) AS rows, count(*) - count({f.name}) AS nulls, "
+        + ("NULL AS low, NULL AS high" if f.dataType.simpleString() == "string" else f"min({f.name})::VARCHAR AS low, max({f.name})::VARCHAR AS high")
+        + f" FROM {source}" for f in TABLES[table])
+
+
+SQL["catalog_statistics"] = with_star(" UNION ALL ".join(_extremes(t, STAR[t]) for t in (
+    "dim_customer", "dim_merchant", "fact_account_monthly", "fact_campaign_response", "fact_transaction")), *STAR.values())
+
 # ---- recency, frequency, monetary -------------------------------------------------------------
 
 
@@ -75,6 +104,12 @@ SQL["rfm_snapshot_refresh"] = with_star(f"""
     SELECT {_columns}, {RESTATED} AS snapshot_date FROM early_rfm
     UNION ALL SELECT {_columns}, {AS_OF} FROM rfm WHERE customer_sk NOT IN (SELECT customer_sk FROM early_rfm)""",
     "txn", **RFM, **_early)
+_bucket = slot("CAST(customer_sk AS VARCHAR)", slots=64)
+SQL["rfm_bucketed_refresh"] = with_star(f"""
+    SELECT *, CAST({_bucket} AS INTEGER) AS bucket, CASE WHEN {_bucket} IN (SELECT {_bucket} FROM restated) THEN 2 ELSE 1 END AS written FROM (
+      SELECT {_columns}, {RESTATED} AS snapshot_date FROM restated
+      UNION ALL SELECT {_columns}, {AS_OF} FROM rfm WHERE customer_sk NOT IN (SELECT customer_sk FROM restated))""",
+    "txn", "dimc", **RFM, **_early, restated="SELECT * FROM early_rfm WHERE customer_sk IN (SELECT customer_sk FROM dimc WHERE income_band = 'low')")
 SQL["rfm_segment_report"] = with_star(f"""
     SELECT rfm_segment, count(*) AS customers, {_d('count(*)')} / sum(count(*)) OVER () AS pct_of_base,
            {_mean('recency_days')} AS avg_recency_days, {_mean('frequency')} AS avg_purchases,
@@ -195,14 +230,24 @@ _parts = (F_TXN, F_CAT, F_CHAN, F_INC, F_MOM, F_BAL, F_HOLD)
 SQL["feature_matrix"] = with_star(_matrix_sql, "txn", "snap", "prod", "dimc", **{f"f{i}": q for i, q in enumerate(_parts)})
 _dated = {"DATE '1998-03-20'": ("DATE '1997-12-20'", "DATE '1997-09-20'"), "DATE '1999-07-01'": ("DATE '1999-04-01'", "DATE '1999-01-01'"),
           AS_OF: (_recent, _prior)}
-SQL["monthly_feature_snapshots"] = with_star(
-    " UNION ALL ".join(
+
+
+def _snapshots(dated: dict[str, tuple[str, str]]) -> tuple[str, dict[str, str]]:
+    """The matrix at several dates, each with the starts of its last and its prior three months: the query and its parts."""
+    whole = " UNION ALL ".join(
         f"SELECT {d} AS as_of, customer_sk, age, tenure_years, existing_product_count, income_band, employment, city, "
         + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in _matrix_columns)
-        + " FROM dimc " + " ".join(f"LEFT JOIN f{i}_{k} USING (customer_sk)" for i in range(len(_parts))) for k, d in enumerate(_dated)),
-    "txn", "snap", "prod", "dimc",
-    **{f"f{i}_{k}": q.replace(AS_OF, d).replace(_recent, r).replace(_prior, p)
-       for k, (d, (r, p)) in enumerate(_dated.items()) for i, q in enumerate(_parts)})
+        + " FROM dimc " + " ".join(f"LEFT JOIN f{i}_{k} USING (customer_sk)" for i in range(len(_parts))) for k, d in enumerate(dated))
+    return whole, {f"f{i}_{k}": q.replace(AS_OF, d).replace(_recent, r).replace(_prior, p)
+                   for k, (d, (r, p)) in enumerate(dated.items()) for i, q in enumerate(_parts)}
+
+
+_whole, _dated_parts = _snapshots(_dated)
+SQL["monthly_feature_snapshots"] = with_star(_whole, "txn", "snap", "prod", "dimc", **_dated_parts)
+_whole, _dated_parts = _snapshots({"DATE '1998-03-20'": ("DATE '1997-12-20'", "DATE '1997-09-20'"),
+                                   "DATE '1996-11-01'": ("DATE '1996-08-01'", "DATE '1996-05-01'"), AS_OF: (_recent, _prior)})
+SQL["features_by_campaign"] = with_star(
+    f"SELECT * FROM ({_whole}) JOIN (SELECT campaign_sk, start_date AS as_of FROM camps) USING (as_of)", "txn", "snap", "prod", "dimc", "camps", **_dated_parts)
 
 # ---- profiles ---------------------------------------------------------------------------------
 P_SPEND = "SELECT customer_sk, " + ", ".join(
@@ -472,6 +517,32 @@ SQL["value_index"] = with_star(f"""
     SELECT customer_sk, {_d('monetary_gel')} / (SELECT quantile_cont({_d('monetary_gel')}, 0.5) FROM base) AS value_index FROM base""",
     "txn", base=RFM["base"])
 
+# ---- every campaign at its own start ------------------------------------------------------------
+_all_base = f"""
+    SELECT campaign_sk, start_date, customer_sk, start_date - max(txn_date) AS recency_days, count(*) AS frequency, sum(amount_gel) AS monetary_gel,
+           {_mean('amount_gel')} AS avg_ticket_gel
+    FROM txn JOIN camps ON txn_date < start_date WHERE txn_type = 'purchase' GROUP BY 1, 2, 3"""
+ALL_RFM = {
+    "base": _all_base, "scored": RFM["scored"].replace("OVER (ORDER", "OVER (PARTITION BY campaign_sk ORDER"),
+    "rfm": RFM["rfm"].replace("SELECT customer_sk", "SELECT campaign_sk, start_date, customer_sk")}
+SQL["rfm_by_campaign"] = with_star("SELECT * FROM rfm", "txn", "camps", **ALL_RFM)
+SQL["lift_by_campaign_segment"] = with_star("""
+    SELECT campaign_sk, segment, n AS customers, p_t AS treatment_rate, p_c AS control_rate, gap AS incremental_rate, gap - m AS ci_low, gap + m AS ci_high,
+           CASE WHEN gap - m > 0 THEN 'TARGET' WHEN gap + m < 0 THEN 'SUPPRESS' ELSE 'NO EVIDENCE' END AS recommendation
+    FROM (SELECT *, p_t - p_c AS gap, CAST(1.96 AS DOUBLE) * sqrt(p_t * (1 - p_t) / n_t + p_c * (1 - p_c) / n_c) AS m FROM arms)""",
+    "txn", "resps", "camps", **ALL_RFM, arms=_arms("campaign_sk, segment", """
+        (SELECT resps.*, COALESCE(rfm_segment, 'No History') AS segment FROM resps LEFT JOIN rfm USING (campaign_sk, customer_sk))""").replace("GROUP BY 1", "GROUP BY 1, 2"))
+SQL["response_curves"] = with_star(f"""
+    SELECT campaign_sk, d AS days_since_contact, n AS responders, sum(n) OVER w AS cumulative, {_d('n')} / sum(n) OVER (PARTITION BY campaign_sk) AS pct_of_total,
+           {_d('sum(n) OVER w')} / sum(n) OVER (PARTITION BY campaign_sk) AS cumulative_pct
+    FROM (SELECT campaign_sk, response_date - contact_date AS d, count(*) AS n FROM resps WHERE contacted = 1 AND responded = 1 GROUP BY 1, 2)
+    WINDOW w AS (PARTITION BY campaign_sk ORDER BY d)""", "resps")
+SQL["spend_concentration"] = with_star(f"""
+    SELECT customer_sk, row_number() OVER w AS position, {_d('monetary_gel')} AS monetary_gel, {_d('sum(monetary_gel) OVER w')} AS cumulative,
+           {_d('row_number() OVER w')} / count(*) OVER () AS cumulative_rows,
+           {_d('sum(monetary_gel) OVER w')} / {_d('sum(monetary_gel) OVER ()')} AS cumulative_share
+    FROM base WINDOW w AS (ORDER BY monetary_gel DESC, customer_sk ROWS UNBOUNDED PRECEDING)""", "txn", base=RFM["base"])
+
 # ---- distributions ----------------------------------------------------------------------------
 SQL["share_vs_expected"] = with_star(f"""
     SELECT mcc_category, COALESCE(a.share, 0) AS actual_share, e.share AS expected_share, COALESCE(a.share, 0) - e.share AS gap
@@ -568,6 +639,14 @@ U_PLAN = """
 SQL["targeting_plan"] = with_star("""
     SELECT bin, customers, n AS contactable, round(conv, 7) AS expected_conversions, round(profit, 6) AS expected_profit,
            contact, round(total, 6) AS cumulative_profit FROM plan""", "cust", bins=U_BINS, plan=U_PLAN)
+SQL["targeting_cutoff"] = with_star("""
+    SELECT customer_sk, position, round(score, 9) AS score, CAST(gain AS DOUBLE) / 10000 AS gain_gel, CAST(position * 200000 AS DOUBLE) / 10000 AS spent_gel,
+           CAST(profit AS DOUBLE) / 10000 AS profit_gel,
+           CAST(position <= COALESCE((SELECT min(position) FROM r WHERE profit > 0 AND profit = (SELECT max(profit) FROM r)), 0) AS INTEGER) AS contact
+    FROM r""", "cust", bins=U_BINS, r="""
+    SELECT *, row_number() OVER w AS position, sum(gain) OVER w AS profit
+    FROM (SELECT customer_sk, score, CAST(round(score * 250 * 10000) AS BIGINT) - 200000 AS gain FROM bins)
+    WINDOW w AS (ORDER BY score DESC, customer_sk ROWS UNBOUNDED PRECEDING)""")
 SQL["budget_table"] = with_star("""
     SELECT budget, count(*) FILTER (WHERE spent <= budget) AS bins, COALESCE(sum(n) FILTER (WHERE spent <= budget), 0) AS contacts,
            COALESCE(max(spent) FILTER (WHERE spent <= budget), 0) AS spend_gel,

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from cohortlift.functions.expressions import hash_slot, rounded
+from cohortlift.functions.expressions import day, hash_slot, rounded
 from cohortlift.operators import (
-    campaign, evaluation, features, ledger, profiles, profiling, quality, ranking, rfm, segmentation, uplift,
+    campaign, campaigns, evaluation, features, ledger, profiles, profiling, quality, ranking, rfm, running, segmentation, uplift,
 )
+from cohortlift.operators.merge import BucketedTable
+from cohortlift.plans.load import PublishedStar
 from cohortlift.schema import CATEGORIES, CHANNELS
-from cohortlift.session import materialise
-from cohortlift.sources.adapter import AS_OF, SNAPSHOT_MONTHS, SNAPSHOT_START, TestStar
+from cohortlift.session import materialise, scratch_path
+from cohortlift.sources import star
+from verification.adapter import AS_OF, SNAPSHOT_MONTHS, SNAPSHOT_START, TestStar
 from verification import damage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,8 +59,48 @@ def dim_merchant(s):
 
 @query
 def table_counts(s):
-    from cohortlift.sources.star import manifest
-    return manifest(s.tables()).select("table_name", "rows")
+    return star.manifest(s.tables()).select("table_name", "rows")
+
+
+@query
+def manifest(s):
+    """The content of every table; the transactions month by month."""
+    parts = star.manifest_parts(s.tables(stored=True))
+    return parts.select("table_name", "part", "rows", F.concat_ws("-", F.col("sum_a").cast("string"), F.col("sum_b").cast("string")).alias("fingerprint"))
+
+
+#: What the test tables are known to violate: some customers never order.
+ACCEPTED = ("customers_without_transactions",)
+
+
+@query
+def staged_load(s):
+    """All tables loaded, checked and published, then read back: rows, content, months and Unknown members."""
+    store = PublishedStar(s.spark, scratch_path(s.spark))
+    store.load(s.tables(stored=True), ACCEPTED, s.gt_customer_persona)
+    loaded = store.current()
+    months = loaded["fact_transaction"].agg(F.count_distinct("txn_month").alias("n")).scalar()
+    unknown = {"dim_date": loaded["dim_date"].where("date_sk = 0"), "dim_merchant": loaded["dim_merchant"].where("merchant_sk = 0")}
+    members = F.lit(0).cast("long")
+    for table, rows in unknown.items():
+        members = F.when(F.col("table_name") == table, rows.agg(F.count(F.lit(1))).scalar()).otherwise(members)
+    return star.merged(star.manifest_parts(loaded)).select(
+        "table_name", "rows", "fingerprint", F.when(F.col("table_name") == "fact_transaction", months).otherwise(F.lit(0)).alias("months"),
+        members.alias("unknown_members"))
+
+
+@query
+def catalog_statistics(s):
+    """Rows, nulls and extremes as the catalog holds them after ANALYZE."""
+    lines = []
+    for name in ("dim_customer", "dim_merchant", "fact_account_monthly", "fact_campaign_response", "fact_transaction"):
+        table = f"{name}_{uuid.uuid4().hex}"
+        star.register(s.spark, getattr(s, "stored_transactions" if name == "fact_transaction" else name), table, scratch_path(s.spark))
+        try:
+            lines.append(star.catalog_statistics(s.spark, table).withColumn("table_name", F.lit(name)))
+        finally:
+            s.spark.sql(f"DROP TABLE {table}")
+    return reduce(DataFrame.unionByName, lines)
 
 
 # ---- recency, frequency, monetary -------------------------------------------------------------
@@ -90,6 +135,22 @@ def rfm_snapshot_refresh(s):
     return rfm.rfm_snapshot_refresh(snapshot, rfm.customer_rfm(s.fact_transaction, RESTATED), RESTATED)
 
 
+BUCKETS = 64
+
+
+@query
+def rfm_bucketed_refresh(s):
+    """The stored snapshot after an early restatement of the customers in debt: only their buckets are written again."""
+    def stamped(date):
+        return rfm.customer_rfm(s.fact_transaction, date).withColumn("snapshot_date", day(date))
+
+    table = BucketedTable(s.spark, scratch_path(s.spark), ["customer_sk"], BUCKETS)
+    table.merge(stamped(AS_OF))
+    in_debt = s.dim_customer.where("income_band = 'low'").select("customer_sk")
+    table.merge(stamped(RESTATED).join(in_debt, "customer_sk", "left_semi"))
+    return table.read()
+
+
 @query
 def rfm_segment_report(s):
     return rfm.rfm_segment_report(rfm.customer_rfm(s.fact_transaction, AS_OF))
@@ -410,6 +471,35 @@ def value_index(s):
     return campaign.value_index(materialise(spend), "monetary_gel").select("customer_sk", "value_index")
 
 
+# ---- every campaign at its own start ------------------------------------------------------------
+@query
+def rfm_by_campaign(s):
+    return campaigns.rfm_by_campaign(s.fact_transaction, s.dim_campaigns)
+
+
+@query
+def lift_by_campaign_segment(s):
+    return campaigns.lift_by_segment(s.campaign_responses, campaigns.rfm_by_campaign(s.fact_transaction, s.dim_campaigns))
+
+
+@query
+def response_curves(s):
+    return campaigns.response_curves(s.campaign_responses)
+
+
+@query
+def features_by_campaign(s):
+    return _steady(campaigns.features_by_campaign(
+        s.stored_transactions, s.fact_account_monthly, s.dim_customer, s.dim_product, s.dim_campaigns))
+
+
+@query
+def spend_concentration(s):
+    spend = rfm.rfm_base(s.fact_transaction, AS_OF).select("customer_sk", "monetary_gel")
+    out = running.concentration(spend, "monetary_gel", "customer_sk")
+    return out.withColumns({c: F.col(c).cast("double") for c in ("monetary_gel", "cumulative")})
+
+
 # ---- distributions ----------------------------------------------------------------------------
 def _purchases(s):
     return s.fact_transaction.where("txn_type = 'purchase'")
@@ -528,6 +618,11 @@ def targeting_plan(s):
     return rounded(_plan(s), {"expected_conversions": 7, "expected_profit": 6, "cumulative_profit": 6})
 
 
+@query
+def targeting_cutoff(s):
+    return rounded(uplift.targeting_cutoff(_scores(s), "score", CONTACT_VALUE, CONTACT_COST), {"score": 9})
+
+
 @query
 def budget_table(s):
     out = uplift.budget_table(_plan(s), CONTACT_COST, BUDGETS)

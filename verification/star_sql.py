@@ -1,6 +1,6 @@
 """The star schema over the raw test tables as DuckDB common table expressions.
 
-Written apart from ``cohortlift.sources.adapter``: the two must agree for any query to match.
+Written apart from ``verification.adapter``: the two must agree for any query to match.
 """
 
 from __future__ import annotations
@@ -68,20 +68,28 @@ _cte("snap", ("live",), f"""
                 WHEN 5 THEN 25 * abs(acctbal) ELSE -90 * balance_slot END AS DECIMAL(14,2)) AS balance_gel,
            CAST(open_month_idx = month_idx AS INTEGER) AS opened_this_month, 1 AS is_held
     FROM live""")
-_cte("resp", ("cust", "hold"), f"""
-    SELECT customer_sk, CAST(1 AS BIGINT) AS campaign_sk, assignment, treated AS contacted, contact_date, {_key('contact_date')} AS contact_date_sk,
+def _responses(campaign: int, start: str, salt: str) -> str:
+    return f"""
+    SELECT customer_sk, CAST({campaign} AS BIGINT) AS campaign_sk, assignment, treated AS contacted, contact_date, {_key('contact_date')} AS contact_date_sk,
            responded, response_date, {_key('response_date')} AS response_date_sk,
            CAST(responded = 1 OR {slot('c', 'dorm')} < 4 AS INTEGER) AS card_opened, responded AS activated,
            CAST(CASE WHEN responded = 1 THEN 100 + 3 * {slot('c', 'v')} ELSE 0 END AS DECIMAL(12,2)) AS annual_value_gel,
            CAST(CASE WHEN treated = 1 THEN 2.5 ELSE 0 END AS DECIMAL(8,2)) AS contact_cost_gel
     FROM (SELECT *, CASE WHEN responded = 1 THEN
-                 CASE WHEN treated = 1 THEN contact_date + CAST({slot('c', 'd')} % 60 + 1 AS INTEGER)
-                      ELSE DATE '2001-01-01' + CAST({slot('c', 'g')} % 70 AS INTEGER) END END AS response_date
+                 CASE WHEN treated = 1 THEN contact_date + CAST({slot('c', 'd' + salt)} % 60 + 1 AS INTEGER)
+                      ELSE DATE '{start}' + CAST({slot('c', 'g')} % 70 AS INTEGER) END END AS response_date
           FROM (SELECT *, CASE treated WHEN 1 THEN 'treatment' ELSE 'control' END AS assignment,
-                       CASE treated WHEN 1 THEN DATE '2001-01-01' + CAST({slot('c', 'c')} % 10 AS INTEGER) END AS contact_date,
-                       CAST({slot('c', 'resp')} < CASE treated WHEN 1 THEN 32 ELSE 22 END AS INTEGER) AS responded
-                FROM (SELECT customer_sk, c, CAST({slot('c', 'arm')} < 70 AS INTEGER) AS treated FROM cust
-                      WHERE customer_sk NOT IN (SELECT customer_sk FROM hold WHERE product_sk = 3))))""")
+                       CASE treated WHEN 1 THEN DATE '{start}' + CAST({slot('c', 'c')} % 10 AS INTEGER) END AS contact_date,
+                       CAST({slot('c', 'resp' + salt)} < CASE treated WHEN 1 THEN 32 ELSE 22 END AS INTEGER) AS responded
+                FROM (SELECT customer_sk, c, CAST({slot('c', 'arm' + salt)} < 70 AS INTEGER) AS treated FROM cust
+                      WHERE customer_sk NOT IN (SELECT customer_sk FROM hold WHERE product_sk = 3))))"""
+
+
+CAMPAIGNS = ((1, "2001-01-01", ""), (2, "1998-03-20", "k2"), (3, "1996-11-01", "k3"))
+_cte("resp", ("cust", "hold"), _responses(*CAMPAIGNS[0]))
+_cte("resps", ("cust", "hold"), " UNION ALL ".join(_responses(*c) for c in CAMPAIGNS))
+_cte("camps", (), "SELECT CAST(campaign_sk AS BIGINT) AS campaign_sk, CAST(start_date AS DATE) AS start_date FROM (VALUES "
+     + ", ".join(f"({k}, '{start}')" for k, start, _ in CAMPAIGNS) + ") v(campaign_sk, start_date)")
 _cte("dimc", ("cust", "hold"), f"""
     SELECT customer_sk, CAST(18 + {slot('c', 'age')} % 60 AS INTEGER) AS age,
            CASE {slot('c', 'sex')} % 2 WHEN 0 THEN 'F' ELSE 'M' END AS gender, n_name AS city,
