@@ -5,15 +5,14 @@ computes any set of them in one scan and one shuffle on the customer. Sums combi
 side: a customer who owns a large part of the fact is reduced where its rows are read and never
 gathered. Amounts are summed as whole minor units in longs, which is exact, independent of the
 partitioning and stays in generated code. What needs a finer grain first (months, merchants) is
-reduced to that grain and then counted; the median is a mergeable sketch.
+reduced to that grain and then counted; medians come from counts per amount.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlift.functions.expressions import DateLike, before, day, exact_mean, floored_ratio, month_start, sum_if
@@ -154,16 +153,29 @@ def _one_block(txn: DataFrame, as_of: DateLike, block: Block) -> DataFrame:
     return customer_totals(txn, as_of, [block]).select(KEY, *block_columns(block))
 
 
-MEDIAN = "CAST(percentile_approx(amount_gel, 0.5D, 10000) AS DOUBLE)"
+def medians_at(txn: DataFrame, dates: list[str]) -> DataFrame:
+    """(as_of, customer, median_ticket_gel): the median purchase amount before each date; the lower one of two in the middle.
 
+    Purchases are counted per customer and amount, a column per date, before anything is shuffled; counts add up, so parts of the fact merge
+    exactly. Running counts over the amounts of a customer then show where half is reached. What meets in a task for one customer is
+    bounded by the different amounts, not by the purchases.
+    """
+    held = range(len(dates))
+    counts = before(txn, "txn_date", max(dates)).where(PURCHASE).groupBy(KEY, F.expr(CENTS).alias("cents")).agg(
+        *[F.count_if(F.col("txn_date") < day(d)).alias(f"n{i}") for i, d in enumerate(dates)])
+    of_customer = Window.partitionBy(KEY)
+    upto = of_customer.orderBy("cents").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.select(
+        KEY, "cents", *[F.sum(f"n{i}").over(upto).alias(f"upto{i}") for i in held], *[F.sum(f"n{i}").over(of_customer).alias(f"all{i}") for i in held])
+    half = placed.groupBy(KEY).agg(*[
+        F.min(F.when((F.col(f"all{i}") > 0) & (2 * F.col(f"upto{i}") >= F.col(f"all{i}")), F.col("cents"))).alias(f"m{i}") for i in held])
+    listed = F.array(*[F.struct(day(d).alias("as_of"), (F.col(f"m{i}").cast("double") / 100).alias("median_ticket_gel")) for i, d in enumerate(dates)])
+    return half.select(KEY, F.inline(listed)).where("median_ticket_gel IS NOT NULL")
 
-def median_ticket(txn: DataFrame, as_of: DateLike) -> DataFrame:
-    """Median purchase amount per customer.
 
-    A mergeable sketch of bounded size: exact up to 10,000 rows per customer, within 1/10,000 of the
-    middle rank beyond.
-    """
-    return before(txn, "txn_date", as_of).where(PURCHASE).groupBy(KEY).agg(F.expr(MEDIAN).alias("median_ticket_gel"))
+def median_ticket(txn: DataFrame, as_of: DateLike) -> DataFrame:
+    """Median purchase amount per customer, exact at any number of purchases."""
+    return medians_at(txn, [str(as_of)]).drop("as_of")
 
 
 def distinct_merchants(txn: DataFrame, as_of: DateLike) -> DataFrame:
@@ -293,15 +305,12 @@ def feature_matrix(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, pr
                    as_of: DateLike) -> DataFrame:
     """One numeric row per customer: every block joined to the customer, missing numbers 0.
 
-    The blocks share their scans: one for all totals and one each for months, the median and
-    merchants, each reading only the columns it needs. All are grouped by the customer, so the
-    joins reuse that partitioning. Columns derived from a sealed label are never taken.
+    Three scans of the fact: one for all totals and months, rolled up to customers and months first, and one each for the median and
+    the merchants, which read only the columns they need. All parts end grouped by the customer, so the joins reuse that
+    partitioning. Columns derived from a sealed label are never taken.
     """
-    blocks = [purchase_block(as_of), category_block(), channel_block(), momentum_block(as_of)]
-    totals = customer_totals(txn, as_of, blocks).select(KEY, *[c for b in blocks for c in block_columns(b)])
-    months = monthly_pattern(txn, as_of, f"{PURCHASE} OR {INFLOW}")
     out = customers.select(KEY, *[c for c in CUSTOMER_COLUMNS if c not in LABEL_DERIVED_COLUMNS])
-    for part in (totals, months, median_ticket(txn, as_of), distinct_merchants(txn, as_of),
+    for part in (_totals_at(txn, [str(as_of)]).drop("as_of"), median_ticket(txn, as_of), distinct_merchants(txn, as_of),
                  balance_features(snapshot, products, as_of), holding_features(snapshot, products, as_of)):
         out = out.join(part, KEY, "left")
     return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)
@@ -313,7 +322,12 @@ def _merged(measures: list[str]) -> dict[str, str]:
     return {m: f"{extreme.get(m, 'sum')}({m})" for m in measures}
 
 
-def _totals_at(txn: DataFrame, dates: list[str], later: Callable[[str], Column]) -> DataFrame:
+def _later(dates: list[str], column: str) -> Column:
+    """A row for each of the dates after ``column``."""
+    return F.explode(F.filter(F.array(*[day(d) for d in dates]), lambda d: d > F.col(column))).alias("as_of")
+
+
+def _totals_at(txn: DataFrame, dates: list[str]) -> DataFrame:
     """The features from additive measures at every date, from one scan.
 
     The fact is reduced to customers and periods. A period is a month, cut again at each date and at
@@ -337,7 +351,7 @@ def _totals_at(txn: DataFrame, dates: list[str], later: Callable[[str], Column])
 
     recent, prior = f"add_months(as_of, {-RECENT_MONTHS})", f"add_months(as_of, {-2 * RECENT_MONTHS})"
     in_recent, in_prior = f"period >= {recent}", f"period >= {prior} AND period < {recent}"
-    months = periods.select("*", later("period")).groupBy("as_of", KEY, month_start(F.col("period")).alias("month")).agg(*_named({
+    months = periods.select("*", _later(dates, "period")).groupBy("as_of", KEY, month_start(F.col("period")).alias("month")).agg(*_named({
         **_merged([*measures, *spread]),
         "recent_sum": f"sum(CASE WHEN {in_recent} THEN p_sum ELSE 0L END)", "prior_sum": f"sum(CASE WHEN {in_prior} THEN p_sum ELSE 0L END)",
         "recent_n": f"sum(CASE WHEN {in_recent} THEN p_n ELSE 0L END)"}))
@@ -358,27 +372,21 @@ def monthly_feature_snapshots(txn: DataFrame, snapshot: DataFrame, customers: Da
 
     Any dates do; each row equals that of ``feature_matrix`` at its date. The fact is scanned as often
     as for one date: totals are rolled up to periods, a merchant counts from the customer's first
-    purchase there, and only medians see a purchase once per later date (as sketches when shuffled).
+    purchase there, and amounts are counted for all dates side by side.
     """
     dates = sorted({str(d) for d in as_of_dates})
     if not dates:
         raise ValueError("no dates")
-    listed = F.array(*[day(d) for d in dates])
-
-    def later(column: str) -> Column:
-        return F.explode(F.filter(listed, lambda d: d > F.col(column))).alias("as_of")
-
     purchases = before(txn, "txn_date", dates[-1]).where(PURCHASE)
     first = purchases.groupBy(KEY, "merchant_sk").agg(F.min("txn_date").alias("first"))
-    merchants = first.select(KEY, "merchant_sk", later("first")).groupBy("as_of", KEY).agg(F.count("merchant_sk").alias("distinct_merchants"))
-    medians = purchases.select(KEY, "amount_gel", later("txn_date")).groupBy("as_of", KEY).agg(F.expr(MEDIAN).alias("median_ticket_gel"))
-    accounts = product_balances(snapshot, products, "Current Account", dates[-1]).select("*", later("month_end_date"))
+    merchants = first.select(KEY, "merchant_sk", _later(dates, "first")).groupBy("as_of", KEY).agg(F.count("merchant_sk").alias("distinct_merchants"))
+    accounts = product_balances(snapshot, products, "Current Account", dates[-1]).select("*", _later(dates, "month_end_date"))
     balances = balance_history(accounts, "as_of").withColumn("balance_cv", _balance_cv())
     ends = before(snapshot, "month_end_date", dates[-1]).select("month_end_date").distinct()
-    latest = ends.select("month_end_date", later("month_end_date")).groupBy("as_of").agg(F.max("month_end_date").alias("month_end_date"))
+    latest = ends.select("month_end_date", _later(dates, "month_end_date")).groupBy("as_of").agg(F.max("month_end_date").alias("month_end_date"))
     holdings = _holdings(snapshot.join(latest, "month_end_date"), products, "as_of")
 
-    out = customers.select(KEY, *[c for c in CUSTOMER_COLUMNS if c not in LABEL_DERIVED_COLUMNS], F.explode(listed).alias("as_of"))
-    for part in (_totals_at(txn, dates, later), medians, merchants, balances, holdings):
+    out = customers.select(KEY, *[c for c in CUSTOMER_COLUMNS if c not in LABEL_DERIVED_COLUMNS], F.explode(F.array(*[day(d) for d in dates])).alias("as_of"))
+    for part in (_totals_at(txn, dates), medians_at(txn, dates), merchants, balances, holdings):
         out = out.join(part, ["as_of", KEY], "left")
     return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DateType, DecimalType, DoubleType, LongType, NumericType
 
 from cohortlift.functions.expressions import any_of
+from cohortlift.operators.running import running_totals
 
 
 @dataclass(frozen=True)
@@ -317,36 +318,19 @@ def quantiles(df: DataFrame, measure: str, probabilities: list[float], resolutio
     return [between(s) for s in spots]
 
 
-def grouped_medians(df: DataFrame, group: str, measure: str, out: str = "median", resolution: int = 64) -> DataFrame:
-    """Exact median of every group (mean of the two middle values of an even number), lazily.
+def grouped_medians(df: DataFrame, group: str, measure: str, out: str = "median") -> DataFrame:
+    """Exact median of every group (mean of the two middle values of an even number).
 
-    Equal values are counted first. Sketched cut values of each group split it into cells; the
-    cells around the middle are found from the rows per cell, and only their values are ordered.
-    Values met at a cut are a cell of their own.
+    Equal values are counted first; running counts over ranges of (group, value) then show where the middle lies, so a group
+    with most of the rows is spread over tasks like any other.
     """
     x = F.col(measure)
-    present = df.where(x.isNotNull() & F.col(group).isNotNull()).groupBy(group, measure).agg(F.count(F.lit(1)).alias("n"))
-    cuts = df.groupBy(group).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx(x, _shares(resolution), 10 * resolution))).alias("cuts"))
-    stride = 8
-    coarse = F.filter("cuts", lambda c, i: (i + 1) % stride == 0)
-    passed = F.size(F.filter("coarse", lambda c: c < x)) * stride
-    placed = present.join(cuts.withColumn("coarse", coarse), group).withColumn("passed", passed).select(
-        group, measure, "n", (
-            2 * (F.col("passed") + F.size(F.filter(F.slice("cuts", F.col("passed") + 1, F.lit(stride)), lambda c: c < x)))
-            + F.array_contains("cuts", x).cast("int")).alias("cell"))
-    # One row per cell: at most twice ``resolution`` rows per group in the window.
-    upto = Window.partitionBy(group).orderBy("cell")
-    sizes = placed.groupBy(group, "cell").agg(F.sum("n").alias("n")).select(
-        group, "cell", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(Window.partitionBy(group)).alias("rows"))
-    low, high = F.floor((F.col("rows") + 1) / 2), F.floor(F.col("rows") / 2) + 1
-    middle = sizes.where((F.col("upto") >= low) & (F.col("upto") - F.col("n") < high)).select(
-        group, "cell", (F.col("upto") - F.col("n")).alias("before"), low.alias("low"), high.alias("high"))
-    inside = Window.partitionBy(group, "cell").orderBy(measure)
-    ranked = placed.join(middle, [group, "cell"]).withColumn("last", F.col("before") + F.sum("n").over(inside))
-    first = F.col("last") - F.col("n") + 1
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((first <= F.col(rank)) & (F.col("last") >= F.col(rank)), x.cast("double")))
-
-    return ranked.groupBy(group).agg(((at("low") + at("high")) / 2).alias(out))
+    counted = df.where(x.isNotNull() & F.col(group).isNotNull()).groupBy(group, measure).agg(F.count(F.lit(1)).alias("n"))
+    placed = running_totals(counted, [measure], {"upto": "n"}, [group])
+    rows, first = F.col("upto_total"), F.col("upto") - F.col("n") + 1
+    low, high = F.floor((rows + 1) / 2), F.floor(rows / 2) + 1
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((first <= rank) & (F.col("upto") >= rank), x.cast("double")))
+
+    return placed.groupBy(group).agg(((at(low) + at(high)) / 2).alias(out))

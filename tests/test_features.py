@@ -134,3 +134,31 @@ def test_snapshots_of_equal_amounts_have_no_spread(spark, txn_of):
     products = spark.createDataFrame([], "product_sk long, product_name string")
     got = by_key(f.monthly_feature_snapshots(txn, spark.createDataFrame([], BALANCE), customers, products, [DAY]))
     assert [(got[k]["purchase_count"], got[k]["ticket_volatility_gel"], got[k]["total_spend_gel"]) for k in (1, 2)] == [(5, 0.0, 0.5), (0, 0.0, 0.0)]
+
+
+def test_medians_are_exact_at_any_number_of_purchases_and_dates(spark, txn_of):
+    """A hot customer with more purchases than any sketch keeps apart, and dates without any purchase before them."""
+    import random
+    random.seed(11)
+    days = ["2020-01-%02d" % d for d in range(1, 29)]
+    rows = [(1, random.choice(days), "purchase", "pos", "dining", 1, random.randrange(1, 100_000) / 100) for _ in range(21_000)]
+    rows += [(c, days[c % 28], "purchase", "pos", "fuel", 1, c) for c in range(2, 40)] + [(99, "2020-01-05", "inflow", "transfer", "n/a", 0, 7)]
+    dates = ["2019-01-01", "2020-01-10", "2020-02-01"]
+    got = {(str(r["as_of"]), r["customer_sk"]): r["median_ticket_gel"] for r in f.medians_at(txn_of(rows).repartition(8), dates).collect()}
+    for date in dates:
+        for customer in (1, 2, 3, 39, 99):
+            amounts = sorted(r[6] for r in rows if r[0] == customer and r[2] == "purchase" and r[1] < date)
+            assert got.get((date, customer)) == (amounts[(len(amounts) + 1) // 2 - 1] if amounts else None), (date, customer)
+
+
+def test_matrix_scans_the_fact_three_times_and_windows_only_within_customers(spark, star):
+    import re
+    txn = star.stored_transactions
+    frames = [f.feature_matrix(txn, star.fact_account_monthly, star.dim_customer, star.dim_product, AS_OF),
+              f.monthly_feature_snapshots(txn, star.fact_account_monthly, star.dim_customer, star.dim_product, ["1998-03-20", "1999-07-01", "2001-01-01"])]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"FileScan parquet \[[^\]]*txn_date", plan)) <= 3
+        windows = [line for line in plan.splitlines() if re.search(r"[- ]Window \[", line)]
+        assert all("[customer_sk" in line.rsplit("specifiedwindowframe", 1)[-1] or re.search(r"\], \[customer_sk#\d+L?\]", line) for line in windows)
+        assert "percentile" not in plan

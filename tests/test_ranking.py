@@ -121,7 +121,7 @@ def test_grouped_medians(spark):
     values = {"wide": [rng.random() for _ in range(2000)], "ties": [1.0] * 301 + [2.0] * 300, "even": [1.0, 4.0], "one": [3.0],
               "half": [5.0] * 4 + [9.0] * 4}
     df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs] + [("none", None)], "g string, x double").repartition(7)
-    got = {r["g"]: r["median"] for r in grouped_medians(df, "g", "x", resolution=8).collect()}
+    got = {r["g"]: r["median"] for r in grouped_medians(df, "g", "x").collect()}
     assert got == pytest.approx({g: statistics.median(vs) for g, vs in values.items()})
 
 

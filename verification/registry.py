@@ -12,7 +12,7 @@ from pyspark.sql.types import NumericType
 
 from cohortlift.functions.expressions import day, hash_slot, rounded
 from cohortlift.operators import (
-    campaign, campaigns, evaluation, features, ledger, profiles, profiling, quality, ranking, rfm, running, segmentation, uplift,
+    campaign, campaigns, evaluation, features, ledger, profiles, profiling, quality, ranking, response_model, rfm, running, segmentation, uplift,
 )
 from cohortlift.operators.merge import BucketedTable
 from cohortlift.plans.load import PublishedStar
@@ -323,6 +323,12 @@ def reconcile_counts(s):
     return quality.reconcile_counts(source, loaded, {"dim_merchant": 1})
 
 
+@query
+def load_counts(s):
+    """Rows of every table after a load against its source."""
+    return PublishedStar(s.spark, scratch_path(s.spark)).load(s.tables(stored=True), ACCEPTED).counts
+
+
 @query
 def randomisation_check(s):
     return quality.randomisation_check(s.fact_campaign_response, s.dim_campaign)
@@ -634,6 +640,22 @@ def choose_k(s):
     return segmentation.choose_k(_stored_matrix(s), SEGMENT_COLUMNS, [2, 3, 4, 5, 6, 7])
 
 
+@query
+def cluster_quality(s):
+    """Cost and silhouette of the mean points of the income bands."""
+    names = ["age_z", "tenure_years_z", "existing_product_count_z"]
+    points = materialise(ledger.standardize(s.dim_customer, ["age", "tenure_years", "existing_product_count"]).select("income_band", *names))
+    centers = rounded(points.groupBy("income_band").agg(*[F.avg(c).alias(c) for c in names]), dict.fromkeys(names, 6))
+    return rounded(segmentation.cluster_quality(points, names, centers, "income_band"), {"cost": 5, "silhouette": 6})
+
+
+@query
+def newton_uplift(s):
+    """Response models on the age alone, four steps."""
+    features_ = s.dim_customer.select("customer_sk", ((F.col("age").cast("double") - 48) / 18).alias("age_z"))
+    return rounded(response_model.newton_uplift(features_, s.fact_campaign_response, ["age_z"], steps=4), {"propensity": 9, "uplift": 9})
+
+
 @query
 def segment_customers(s):
     return segmentation.segment_customers(_stored_matrix(s), SEGMENT_COLUMNS, 6)
