@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -24,45 +25,99 @@ ORC = {
     "orc.stripe.size": str(8 << 20), "compression": "zstd"}
 #: Bytes of text a file is made for; a text counts some bytes more than it has, so that empty ones count too.
 FILE_BYTES, ROW_BYTES = 32 << 20, 64
-#: Bytes of ids that are handed over at once.
-BATCH_BYTES = 4 << 20
+#: Bytes of text that are encoded at once.
+BATCH_BYTES = 1 << 20
 
 
 class Encoder:
     """Ids of whole texts, as the tokenizer gives them, with each distinct piece of text encoded once.
 
     A byte-level tokenizer with its own regular expression always breaks at a space between two characters that are no white space: the space
-    begins the next piece. So a text is cut there and each piece is looked up; what is not known yet goes through the tokenizer. Tokenizers of
-    another make, or with added tokens that reach over a space, get each text as a whole.
+    begins the next piece. In plain texts it also breaks between words and marks, and around line feeds. So a text is cut there and each piece is
+    looked up. Pieces not known yet go through the tokenizer in one text, and its ids are dealt to them by the bytes they stand for; where
+    these don't meet the ends of the pieces, each goes through alone. Tokenizers of another make, or with added tokens that reach over a
+    space, get each text as a whole.
     """
 
-    KEPT = 400_000
+    #: Pieces of a generation. The one before it is kept too: what is met again moves on, the rest goes with it.
+    KEPT = 300_000
     CUT = re.compile(r"(?<=\S)(?= \S)")
+    #: In a plain text: a word of letters and digits or a run of marks, with the space before it; line feeds, the last of several apart.
+    FINE = re.compile(r" ?(?:[^\x00-/:-@\[-`{-\x7f]+|[!-/:-@\[-`{-~]+)|\n+\Z|\n+(?=\n)|\n")
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.before = Tokenizer.from_file(path), {}, {}
         made = json.loads(self.tokenizer.to_str())
         split = made["pre_tokenizer"] or {}
-        added = [a for a in made["added_tokens"] if " " in a["content"] or a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] and made["normalizer"]]
-        self.in_pieces = made["normalizer"] is None and split.get("type") == "ByteLevel" and bool(split.get("use_regex")) and not split.get("add_prefix_space") and not added
+        added = made["added_tokens"]
+        reaching = [a for a in added if " " in a["content"] or a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] and made["normalizer"]]
+        self.in_pieces = made["normalizer"] is None and split.get("type") == "ByteLevel" and bool(split.get("use_regex")) and not split.get("add_prefix_space") and not reaching
+        # an added token of letters and marks may begin with any of its characters, so none of these texts is plain
+        self.added = [a["content"] for a in added]
+        self.plain = {c: True for c in map(chr, (10, *range(32, 127))) if c != "'"}
+        if self.in_pieces:
+            # a character of a byte-level token stands for a byte
+            lengths = {i: len(t) for t, i in self.tokenizer.get_vocab().items()} | {a["id"]: len(a["content"].encode()) for a in added}
+            self.bytes_of = np.array([lengths.get(i, 0) for i in range(max(lengths) + 1)])
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        together = [p for p in new if p[0] == " " and not p[-1].isspace()]
+        apart = [p for p in new if p[0] != " " or p[-1].isspace()]
+        if together:
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(together)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(np.fromiter((len(p.encode()) for p in together), np.int64, len(together)))
+            reached = np.cumsum(self.bytes_of[ids])
+            cuts = np.searchsorted(reached, ends)
+            if cuts[-1] < len(ids) and (reached[cuts] == ends).all():
+                data, cuts = ids.tobytes(), [0, *((cuts + 1) * 4).tolist()]
+                self.known.update((p, data[a:b]) for p, a, b in zip(together, cuts, cuts[1:], strict=False))
+            else:
+                apart = new
+        if apart:
+            self.known.update(zip(apart, self._alone(apart), strict=True))
+
+    def _is_plain(self, character: str) -> bool:
+        """Letters, digits, marks, space and line feed are plain; whether another character is a letter, the tokenizer itself tells."""
+        if character not in self.plain:
+            self.plain[character] = character > "\x7f" and len(self.tokenizer.pre_tokenizer.pre_tokenize_str(f"a{character}a")) == 1
+        return self.plain[character]
+
+    def _cut(self, text: str) -> list[str]:
+        if (text[0] != " " != text[-1] and "  " not in text and " \n" not in text and "\n " not in text and all(map(self._is_plain, set(text)))
+                and not any(a in text for a in self.added)):
+            return self.FINE.findall(text)
+        return self.CUT.split(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers, without special tokens; null texts have none."""
         texts = [t or "" for t in texts]
         if not self.in_pieces:
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        parts = [self.CUT.split(t) for t in texts]
+            return self._alone(texts)
         if len(self.known) > self.KEPT:
-            self.known.clear()
-        known = self.known
-        if new := list({p for ps in parts for p in ps if p not in known}):
-            found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, found, strict=True))
-        return [b"".join(map(known.__getitem__, ps)) for ps in parts]
+            self.known, self.before = {}, self.known
+        ends = [0]
+        pieces: list[str] = []
+        for text in texts:
+            if text:
+                pieces += self._cut(text)
+            ends.append(len(pieces))
+        found = list(map(self.known.get, pieces))
+        if missing := [i for i, ids in enumerate(found) if ids is None]:
+            new = {pieces[i] for i in missing}
+            self.known.update((p, ids) for p in new if (ids := self.before.get(p)) is not None)
+            self._learn([p for p in new if p not in self.known])
+            for i in missing:
+                found[i] = self.known[pieces[i]]
+        return [b"".join(found[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
+    # a task has one core; threads of the library's own would only contend for those of other tasks
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Encoder(path)
 
 

@@ -5,6 +5,7 @@ import zlib
 import pyarrow.compute  # noqa: F401
 import pyarrow.orc as orc
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -42,6 +43,28 @@ def test_pieces_give_the_ids_of_the_whole(text):
     assert list(struct.unpack(f"<{len(ids_of(text))}I", ENCODER.encode([text])[0])) == ids_of(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from(" \n.,!aZ09éßжد漢|<>&"), max_size=40), st.sampled_from(["", " ", "\n", "\n\n", "a"]))
+def test_plain_texts_are_cut_finely(text, end):
+    text = text + end
+    assert list(struct.unpack(f"<{len(ids_of(text))}I", ENCODER.encode([text])[0])) == ids_of(text)
+
+
+@pytest.mark.parametrize("text", [
+    "it's", "a…b", "x ²y", "½.", "a\n\n\nb", "a\n\n", "\n\na", "tail \n", "a\tb", "no\u00adbreak", "e\u0301.", "\u200d,", "<|endoftext|>", "a<|endoftext|>.b", "Ⅷ.a", "a" * 3000])
+def test_texts_at_the_edge_of_plain(text):
+    for _ in range(2):
+        assert list(struct.unpack(f"<{len(ids_of(text))}I", ENCODER.encode([text])[0])) == ids_of(text)
+
+
+def test_forgetting_changes_nothing():
+    encoder = token_store.Encoder(BPE)
+    encoder.KEPT = 5
+    texts = ["one two, three. four", "five\nsix seven", "one two eight nine ten", "two, four five"] * 3
+    for text in texts:
+        assert encoder.encode([text, "", None, text]) == [ENCODER.encode([text])[0], b"", b"", ENCODER.encode([text])[0]]
+
+
 def test_query_equals_brute_force(spark):
     docs = read(spark, SMALL, "documents").select("doc_id", "text").collect()
     assert as_rows(queries.op11_tokens(spark, SMALL)) == brute(map(tuple, docs))
