@@ -63,45 +63,45 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     return placed.join(counts, ["tree", "range"]).withColumn("at", F.col("before") + F.col("within") - 1).drop("row", "range", "within", "before")
 
 
-def _local(nodes: list[str], size: int) -> list[list[str]]:
-    """The levels of one superblock from its nodes up. In a tree of one superblock the way up ends at a single node, else after LEVELS levels."""
-    whole = size <= FAN**LEVELS
+def _local(nodes: list[str], size: int, depth: int) -> list[list[str]]:
+    """The levels of one superblock from its nodes up. In a tree of one superblock the way up ends at a single node, else after `depth` levels."""
+    whole = size <= FAN**depth
     levels = [nodes]
-    while len(levels[-1]) > 1 if whole else len(levels) <= LEVELS:
+    while len(levels[-1]) > 1 if whole else len(levels) <= depth:
         last = levels[-1]
         levels.append([digest(last[i : i + FAN]) for i in range(0, len(last), FAN)])
     return levels
 
 
-def _blocks(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("at") / FAN**LEVELS))
+def _blocks(nodes: DataFrame, depth: int) -> DataFrame:
+    return nodes.withColumn("block", F.floor(F.col("at") / FAN**depth))
 
 
-def _up(nodes: DataFrame) -> DataFrame:
+def _up(nodes: DataFrame, depth: int) -> DataFrame:
     """(tree, at, size, node) of a tier -> the same of the next one: a node per superblock."""
 
     def top(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at")
         size = int(rows["size"].iloc[0])
-        node = _local(rows["node"].tolist(), size)[-1][0]
-        return pd.DataFrame({"tree": [rows["tree"].iloc[0]], "at": [rows["block"].iloc[0]], "size": [-(-size // FAN**LEVELS)], "node": [node]})
+        node = _local(rows["node"].tolist(), size, depth)[-1][0]
+        return pd.DataFrame({"tree": [rows["tree"].iloc[0]], "at": [rows["block"].iloc[0]], "size": [-(-size // FAN**depth)], "node": [node]})
 
-    return _blocks(nodes).groupBy("tree", "block").applyInPandas(top, "tree string, at long, size long, node string")
+    return _blocks(nodes, depth).groupBy("tree", "block").applyInPandas(top, "tree string, at long, size long, node string")
 
 
 #: An outer node: the siblings of level `level` above its superblock (tree, block); the superblock's own node stands at `place` among them.
 OUTER = "tree string, block long, level int, place int, others array<string>"
 
 
-def _paths(nodes: list[str], size: int, outer: pd.DataFrame) -> list[list[tuple[int, list[str]]]]:
+def _paths(nodes: list[str], size: int, outer: pd.DataFrame, depth: int) -> list[list[tuple[int, list[str]]]]:
     """For each node of a superblock, its (place, others) level by level, through the outer nodes to the root."""
-    levels = _local(nodes, size)
+    levels = _local(nodes, size, depth)
     above = [(int(p), list(o)) for p, o in outer.sort_values("level")[["place", "others"]].itertuples(index=False)]
     paths = []
     for i in range(len(nodes)):
         path = []
-        for depth, level in enumerate(levels[:-1]):
-            k = i // FAN**depth
+        for height, level in enumerate(levels[:-1]):
+            k = i // FAN**height
             run = level[k // FAN * FAN : k // FAN * FAN + FAN]
             path.append((k % FAN, run[: k % FAN] + run[k % FAN + 1 :]))
         paths.append(path + above)
@@ -115,25 +115,25 @@ def fold(leaf: str, path: list[tuple[int, list[str]]]) -> str:
     return leaf
 
 
-def _down(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _down(nodes: DataFrame, outer: DataFrame, depth: int) -> DataFrame:
     """The outer nodes of the tier below: for each node (a superblock there) the siblings from it to the root."""
 
     def exchange(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at")
-        paths = _paths(rows["node"].tolist(), int(rows["size"].iloc[0]), above) if len(rows) else []
+        paths = _paths(rows["node"].tolist(), int(rows["size"].iloc[0]), above, depth) if len(rows) else []
         out = [(t, a, n, p, o) for t, a, path in zip(rows["below"], rows["at_below"], paths, strict=True) for n, (p, o) in enumerate(path)]
         return pd.DataFrame(out, columns=["tree", "block", "level", "place", "others"])
 
     by = ["tree", "block"]
-    return _blocks(nodes).groupBy(*by).cogroup(outer.groupBy(*by)).applyInPandas(exchange, OUTER)
+    return _blocks(nodes, depth).groupBy(*by).cogroup(outer.groupBy(*by)).applyInPandas(exchange, OUTER)
 
 
-def manifest(docs: DataFrame) -> DataFrame:
+def manifest(docs: DataFrame, depth: int = LEVELS) -> DataFrame:
     """documents -> (doc_id, leaf, subroot, root, proof_sha256, folded_root, verified), a row per row.
 
     Per source (null first, then by bytes) leaves ascend by doc_id, null ids first, equal ids by leaf; rows that repeat are leaves each. Nulls
-    and empty texts are hashed as such; other columns are not looked at; no rows: no rows. Superblocks hold 4,096 nodes at most, and an outer node
-    15 digests, so no group grows with the data; ranges of a tree are numbered apart, so neither a hot source nor repeated rows gather.
+    and empty texts are hashed as such; other columns are not looked at; no rows: no rows. Superblocks hold FAN ** depth (4,096) nodes at most, and an outer
+    node 15 digests, so no group grows with the data; ranges of a tree are numbered apart, so neither a hot source nor repeated rows gather.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = stored(numbered(leaves(docs), ["doc_id", "leaf"]))
@@ -142,8 +142,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     if most is None:
         return base.sparkSession.createDataFrame([], f"doc_id {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
     while True:
-        tiers.append(stored(_up(tiers[-1])))
-        most = -(-most // FAN**LEVELS)
+        tiers.append(stored(_up(tiers[-1], depth)))
+        most = -(-most // FAN**depth)
         if most == 1:
             break
     # the last tier holds the root of each source; these are the nodes of one tree more
@@ -152,19 +152,19 @@ def manifest(docs: DataFrame) -> DataFrame:
     upper = [over.select("tree", "at", "size", "node")]
     most = over.agg(F.max("size")).first()[0]
     while most > 1:
-        upper.append(stored(_up(upper[-1])))
-        most = -(-most // FAN**LEVELS)
+        upper.append(stored(_up(upper[-1], depth)))
+        most = -(-most // FAN**depth)
     root = upper[-1].first()["node"]
     outer = base.sparkSession.createDataFrame([], OUTER)
     for tier in reversed(upper[1:-1] if len(upper) > 1 else []):
-        outer = stored(_down(tier.withColumns({"below": F.col("tree"), "at_below": F.col("at")}), outer))
-    outer = stored(_down(over.withColumns({"below": F.col("source_tree"), "at_below": F.lit(0).cast("long")}), outer))
+        outer = stored(_down(tier.withColumns({"below": F.col("tree"), "at_below": F.col("at")}), outer, depth))
+    outer = stored(_down(over.withColumns({"below": F.col("source_tree"), "at_below": F.lit(0).cast("long")}), outer, depth))
     for tier in reversed(tiers[1:]):
-        outer = stored(_down(tier.withColumns({"below": F.col("tree"), "at_below": F.col("at")}), outer))
+        outer = stored(_down(tier.withColumns({"below": F.col("tree"), "at_below": F.col("at")}), outer, depth))
 
     def finish(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("at")
-        paths = _paths(rows["leaf"].tolist(), int(rows["size"].iloc[0]), above) if len(rows) else []
+        paths = _paths(rows["leaf"].tolist(), int(rows["size"].iloc[0]), above, depth) if len(rows) else []
         folded = [fold(leaf, path) for leaf, path in zip(rows["other"], paths, strict=True)]
         proofs = [digest(o for _, others in path for o in others) for path in paths]
         return pd.DataFrame({
@@ -172,6 +172,6 @@ def manifest(docs: DataFrame) -> DataFrame:
             "verified": [f == root for f in folded]})
 
     by = ["tree", "block"]
-    done = _blocks(base).groupBy(*by).cogroup(outer.groupBy(*by)).applyInPandas(
+    done = _blocks(base, depth).groupBy(*by).cogroup(outer.groupBy(*by)).applyInPandas(
         finish, f"tree string, doc_id {kind}, leaf string, proof_sha256 string, folded_root string, root string, verified boolean")
     return done.join(subroots, "tree").select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

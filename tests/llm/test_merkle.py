@@ -50,24 +50,34 @@ def brute(rows):
     return out
 
 
-def check(df):
+def check(df, **config):
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
-    got = [tuple(r) for r in merkle.manifest(df).collect()]
+    got = [tuple(r) for r in merkle.manifest(df, **config).collect()]
     expected = brute([tuple(r) for r in df.select(*fields).collect()])
     assert sorted(map(repr, got)) == sorted(map(repr, expected))
     return got
 
 
-def test_equals_brute_force_over_tiers(spark):
-    """One source of more than a superblock, more sources than a superblock, sources of one, of 16 and of 17."""
-    rows = [(i, "big", "en", 3, f"Text {i}") for i in range(4_200)]
-    rows += [(10_000 + i, f"s{i}", None, None, "X") for i in range(4_200)]
+def rows_of(big, sources):
+    rows = [(i, "big", "en", 3, f"Text {i}") for i in range(big)]
+    rows += [(10_000 + i, f"s{i}", None, None, "X") for i in range(sources)]
     rows += [(20_000 + i, "sixteen", "de", 1, "é A") for i in range(16)] + [(30_000 + i, "seventeen", "de", 1, None) for i in range(17)]
-    rows += [(40_000, None, "en", 0, ""), (40_001, None, "en", 0, "Z"), (40_002, "", "en", 0, "Z"), (40_003, "\U0001f600", "en", 0, "Z"), (40_004, "～", "en", 0, "Z")]
-    got = check(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(7))
+    return rows + [(40_000, None, "en", 0, ""), (40_001, None, "en", 0, "Z"), (40_002, "", "en", 0, "Z"), (40_003, "\U0001f600", "en", 0, "Z"), (40_004, "～", "en", 0, "Z")]
+
+
+COLUMNS = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def test_equals_brute_force_over_several_tiers(spark):
+    """Superblocks of one level: a source of three tiers, sources of two tiers, sources of one, of 16 and of 17."""
+    got = check(spark.createDataFrame(rows_of(300, 60), COLUMNS).repartition(7), depth=1)
     assert 0 < sum(not r[-1] for r in got) < len(got)
 
 
+def test_equals_brute_force_beyond_a_superblock(spark):
+    check(spark.createDataFrame(rows_of(4_200, 3), COLUMNS).repartition(3))
+
+
 def test_odd_cases(spark, odd, nothing):
     check(odd)
     check(odd.where("doc_id = 8"))
