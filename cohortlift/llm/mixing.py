@@ -59,11 +59,12 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, s
     long as half of the document still fits in the rest of the target. taken = copies * size; positions has a training time (0 to 1) for
     each copy: the words of a source before that copy, as a share of all it gives, meet the integral of its weight schedule there.
     Sums run over parts of the hash order, then within a part, so a hot source spreads over the tasks. Null texts have size 0, a null source
-    is a source, null or repeated ids are documents with a place in the order; rows equal in id and text hash are alike. No rows: no rows.
+    is a source, repeated ids are documents with a place in the order, null ids are drawn by their texts; rows equal in id and text hash are alike. No rows: no rows.
     """
+    nameless = F.concat(F.lit("null "), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     rows = columns(docs, doc_id="doc_id", text="text", source="source").select(
         "doc_id", "source", n_words_of(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("draw"))
+        F.md5(F.coalesce(F.col("doc_id").cast("string"), nameless).cast("binary")).alias("draw"))
     rows = stored(rows.withColumn("part", F.conv(F.substring("draw", 1, 3), 16, 10).cast("int") % PARTS))
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     sizes = targets(parts.groupBy("source").agg(F.sum("part_size").alias("source_size")), weights, most)

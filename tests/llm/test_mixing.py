@@ -96,3 +96,11 @@ def test_query_gives_the_positions_in_their_order(spark):
     assert first == sorted(first)
     copies = mixing.training_order(read(spark, SMALL, "documents")).collect()
     assert sorted((r.doc_id, r.position) for r in copies) == sorted((r.doc_id, p) for r in rows for p in map(float, filter(None, r.positions.split(","))))
+
+
+def test_null_ids_spread_over_the_order(spark):
+    docs = spark.createDataFrame([(None, "w " * (i + 1), "a") for i in range(300)], "doc_id long, text string, source string")
+    rows = mixing.mixed(docs)
+    assert len({p for r in rows.collect() for p in r.positions}) > 250
+    plan = mixing.mixed(docs.repartition(5))
+    assert sorted(map(str, plan.collect())) == sorted(map(str, rows.collect()))
