@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = r"[\x20\x09-\x0D]+"
+#: Groups over which the rows of one join key are dealt.
+SALTS = 16
 
 
 def shared_folder(spark: SparkSession) -> str:

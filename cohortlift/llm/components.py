@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.llm.common import stored
+from cohortlift.llm.common import SALTS, stored
+
+
+def _smallest(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(u, salt, low) with the smallest neighbour of each u, a row for each of the SALTS groups over which its links are dealt; and the links with
+    their group. A hub meets its neighbours in as many tasks, and a node with few links has no more rows than links."""
+    salted = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    least = salted.groupBy("u").agg(F.min("v").alias("low"), F.collect_set("salt").alias("salts"))
+    return least.select("u", "low", F.explode("salts").alias("salt")), salted
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
 
     A large star hangs all larger neighbours of a node on its smallest neighbour, a small star hangs the node and its smaller neighbours
     there. Both replace links by as many links at most, so nothing grows; the minimum of a node is combined before the shuffle, and the
-    joins can be split where a node has a great many links. The rounds end when no link changes; each is written to the shared folder.
+    joins deal the links of a node over SALTS groups, at all sizes alike. The rounds end when no link changes; each is written to the shared folder.
     Links of a node to itself, repeated links and links with a null do no harm; no links give no rows.
     """
     ends = [F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")]
@@ -22,9 +30,10 @@ def components(links: DataFrame) -> DataFrame:
     while (state := tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())) != seen and state[0]:
         seen = state
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("u", "low"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(least, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        stars = stored(small.unionByName(least.withColumnRenamed("low", "v")).distinct())
+        least, salted = _smallest(both)
+        least = least.withColumn("low", F.least("u", "low"))
+        large = salted.where("v > u").join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        least, salted = _smallest(large)
+        small = salted.join(least, ["u", "salt"]).where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        stars = stored(small.unionByName(least.select("u", F.col("low").alias("v"))).distinct())
     return stars.select(F.col("u").alias("node"), F.col("v").alias("label"))
