@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlift.llm.common import ascii_lower, columns
+from cohortlift.llm.common import SALTS, ascii_lower, columns, stored
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Words in host names that label a page as unwanted.
 UNWANTED = r"(^|[.-])(casino|pills|adult|bets|spam|ads)([.-]|$)"
-#: Path segments that the tree tells apart (the rest is one last segment); values of a segment from which it is variable, if there are fewer than
-#: so many pages a value; least difference in deviations that keeps branches apart; purity from which a template is blocked.
-DEPTH, MANY, REPEATS, APART, PURE = 4, 20, 5, 1.96, 0.8
+#: Effective number of values (the exponential of their entropy over distinct shapes) from which a segment is variable; least difference in
+#: deviations that keeps branches apart; purity from which a template is blocked.
+EFFECTIVE, APART, PURE = 16, 1.96, 0.8
 
 
 def host_of(url: Column) -> Column:
@@ -37,28 +39,58 @@ def lexical(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, r"(?<=/)([0-9]+|[0-9a-f]{8,})(?=[/.]|$)", "*"), "[0-9]+", "#")
 
 
+def _under(parent: Column, segments: Column) -> Column:
+    return F.concat(parent, F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), ""))
+
+
+def branched(shapes: DataFrame) -> DataFrame:
+    """Distinct (host, shape) -> (host, shape, template): the shape with * in place of variable segments, at any depth.
+
+    The tree grows from the root. What all shapes below a node share goes to its name at once: the smallest and the largest of them tell how much
+    that is, so long common paths take one round and rounds follow the branchings. Where they differ next, the node's segment is variable
+    if the entropy of its values, each weighed by the distinct shapes below it, is that of EFFECTIVE values or more; so repeated pages change
+    nothing, and a segment stays variable as a host gains values. The values of a variable segment share one node from there on. A shape
+    leaves when it has no segment left. Nodes with many shapes meet them in SALTS groups, so no host gathers in one task.
+    """
+    salt = F.pmod(F.xxhash64("shape"), F.lit(SALTS)).alias("salt")
+    rest = F.split("shape", "/")
+    growing = shapes.select("host", "shape", salt, F.lit("").alias("template"), F.slice(rest, 2, F.size(rest)).alias("rest"))
+    done = growing.where("false")
+    while True:
+        nodes = growing.groupBy("host", "template").agg(F.min("rest").alias("low"), F.max("rest").alias("high"), F.collect_set("salt").alias("salts"))
+        differ = F.array_position(F.zip_with("low", "high", lambda a, b: a.eqNullSafe(b)), False)
+        nodes = nodes.select("host", "template", F.when(differ > 0, differ - 1).otherwise(F.size("low")).cast("int").alias("shared"), F.explode("salts").alias("salt"))
+        at = growing.join(nodes, ["host", "template", "salt"]).select(
+            "host", "shape", "salt", _under(F.col("template"), F.slice("rest", F.lit(1), F.col("shared"))).alias("template"),
+            F.slice("rest", F.col("shared") + 1, F.size("rest")).alias("rest"))
+        at = stored(at)
+        done = done.unionByName(at.where(F.size("rest") == 0))
+        growing = at.where(F.size("rest") > 0)
+        if growing.isEmpty():
+            return done.select("host", "shape", "template")
+        weights = growing.groupBy("host", "template", F.get("rest", F.lit(0)).alias("value")).agg(F.count("*").alias("w"))
+        sums = weights.groupBy("host", "template").agg(F.sum("w").alias("m"), F.sum(F.round(F.col("w") * F.log("w"), 6).cast("decimal(38,6)")).cast("double").alias("s"))
+        variable = sums.where(F.log("m") - F.col("s") / F.col("m") >= math.log(EFFECTIVE) - 1e-6)
+        # a variable node has EFFECTIVE shapes at least, so its rows don't outgrow them
+        variable = variable.select("host", "template", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"), F.lit("*").alias("any"))
+        growing = growing.join(variable, ["host", "template", "salt"], "left").select(
+            "host", "shape", "salt", F.concat("template", F.lit("/"), F.coalesce("any", F.get("rest", F.lit(0)))).alias("template"),
+            F.slice("rest", F.lit(2), F.size("rest")).alias("rest"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, shape, labelled, bad) rows of pages -> (host, shape, template, n, bad, purity), one row per host and lexical shape.
 
-    Level by level a segment with MANY values or more, few of them repeated, turns into * under its host and parent template. Branches that
-    differ in their first fixed segment alone are merged if two or more have labels and no share of bad pages stands out (two-proportion z
-    below APART against its siblings together). purity = (bad + 1) / (labelled + 2): a template without labels has 1/2.
+    Variable segments become * (see `branched`). Branches that differ in their first fixed segment alone are merged if two or more have labels and
+    no share of bad pages stands out (two-proportion z below APART against its siblings together). purity = (bad + 1) / (labelled + 2): a
+    template without labels has 1/2.
     """
-    tree = pages.groupBy("host", "shape").agg(F.count("*").alias("pages"), F.sum("labelled").alias("n"), F.sum("bad").alias("bad"))
-    tree = tree.withColumn("segments", F.split("shape", "/", DEPTH + 1)).withColumn("parent", F.lit("")).withColumn("first_fixed", F.lit(0))
-    for level in range(1, DEPTH + 1):
-        value = F.get("segments", F.lit(level))
-        there = tree.where(value.isNotNull())
-        values = there.groupBy("host", "parent", value.alias("value")).agg(F.sum("pages").alias("pages"))
-        wide = values.groupBy("host", "parent").agg(F.count("*").alias("k"), F.sum("pages").alias("p")).where((F.col("k") >= MANY) & (F.col("p") < REPEATS * F.col("k")))
-        wide = wide.select("host", "parent", F.lit(True).alias("wide"))
-        generic = F.when(F.col("wide"), "*").otherwise(value)
-        tree = tree.join(wide, ["host", "parent"], "left").withColumn("parent", F.when(value.isNull(), F.col("parent")).otherwise(F.concat("parent", F.lit("/"), generic)))
-        fixed = (F.col("first_fixed") == 0) & generic.isNotNull() & ~generic.contains("*") & (generic != "")
-        tree = tree.withColumn("first_fixed", F.when(fixed, level).otherwise(F.col("first_fixed"))).drop("wide")
-    tree = tree.withColumnRenamed("parent", "template")
+    shapes = stored(pages.groupBy("host", "shape").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("bad")))
+    tree = shapes.join(branched(shapes), ["host", "shape"])
+    fixed = F.transform(F.split("template", "/"), lambda s: (s != "") & ~s.contains("*"))
+    tree = stored(tree.withColumn("first_fixed", F.array_position(fixed, True) - 1))
     parts = F.split("template", "/")
-    merged_name = F.when(F.col("first_fixed") > 0, F.array_join(F.transform(parts, lambda s, i: F.when(i == F.col("first_fixed"), "*").otherwise(s)), "/")).otherwise(F.col("template"))
+    merged_name = F.when(F.col("first_fixed") >= 0, F.array_join(F.transform(parts, lambda s, i: F.when(i == F.col("first_fixed"), "*").otherwise(s)), "/")).otherwise(F.col("template"))
     branches = tree.groupBy("host", "template", merged_name.alias("merged")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     sums = branches.groupBy("host", "merged").agg(F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"), F.count(F.when(F.col("n") > 0, 1)).alias("with_labels"))
     known = branches.join(sums, ["host", "merged"])

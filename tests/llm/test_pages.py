@@ -1,4 +1,6 @@
+import math
 import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyarrow import fs as pafs
@@ -85,3 +87,90 @@ def test_templates(spark):
     # fifty user names, one page each, are one variable segment; two branches that are alike are merged
     assert {r.template for r in out if r.host.startswith("names")} == {"/u/*/home"}
     assert {r.template.split("/")[1] for r in out if r.host.startswith("casino")} == {"*"}
+
+
+def plain_templates(shapes):
+    """shape -> template of one host's distinct shapes, node by node."""
+    out = {}
+
+    def grow(name, members):
+        values = Counter(rest[0] for _, rest in members if rest)
+        m = sum(values.values())
+        entropy = -sum(w / m * math.log(w / m) for w in values.values())
+        below = defaultdict(list)
+        for shape, rest in members:
+            if rest:
+                below["*" if math.exp(entropy) > urls.EFFECTIVE - 1e-6 else rest[0]].append((shape, rest[1:]))
+            else:
+                out[shape] = name
+        for value, group in below.items():
+            grow(f"{name}/{value}", group)
+
+    grow("", [(s, s.split("/")[1:]) for s in shapes])
+    return out
+
+
+def plain_judgements(rows):
+    """(page_id, template, purity, verdict) of all rows, by dictionaries."""
+    pages = []
+    for r in rows:
+        host, path, best = plain_url(r.url)
+        shape = re.sub("[0-9]+", "#", re.sub(r"(?<=/)([0-9]+|[0-9a-f]{8,})(?=[/.]|$)", "*", path))
+        named = re.search(urls.UNWANTED, host) is not None
+        pages.append((r.page_id, host, shape, best, int(best is not None or named), int(best[1] == "block" if best else named)))
+    leaf, counts, families = {}, defaultdict(lambda: [0, 0]), defaultdict(set)
+    for host in {p[1] for p in pages}:
+        leaf[host] = plain_templates({p[2] for p in pages if p[1] == host})
+    for _, host, shape, _, n, bad in pages:
+        counts[host, leaf[host][shape]][0] += n
+        counts[host, leaf[host][shape]][1] += bad
+    for host, template in counts:
+        parts = template.split("/")
+        fixed = next((i for i, s in enumerate(parts) if s and "*" not in s), None)
+        families[host, "/".join("*" if i == fixed else s for i, s in enumerate(parts))].add((host, template))
+    final = {}
+    for (_, merged), members in families.items():
+        n, bad = (sum(counts[x][i] for x in members) for i in (0, 1))
+        apart = False
+        for x in members:
+            k, b = counts[x]
+            if k and n - k and 0 < bad < n:
+                deviation = math.sqrt(bad / n * (1 - bad / n) * (1 / k + 1 / (n - k)))
+                apart |= abs(b / k - (bad - b) / (n - k)) >= urls.APART * deviation
+        together = not apart and sum(counts[x][0] > 0 for x in members) >= 2
+        for x in members:
+            k, b = (n, bad) if together else counts[x]
+            final[x] = (merged if together else x[1], (b + 1) / (k + 2))
+    out = []
+    for page_id, host, shape, best, _, _ in pages:
+        template, purity = final[host, leaf[host][shape]]
+        out.append((str(page_id), template, round(purity, 9), best[1] if best else "block" if purity >= urls.PURE else "allow"))
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def deep_pages(spark):
+    made = [f"http://deep.example.org/a/b/c/d/{x}{y}/e/{i}" for x in "klmnop" for y in "qrstu" for i in range(2)]
+    made += [f"http://deep.example.org/{'/'.join('xy' * 400)}{t}" for t in ("", "/", "/end", "/end/far")]
+    made += [f"http://pills.example.org/fr/{a}" for a in "gh"] + [f"http://pills.example.org/{a}/{b}{c}" for a in ("fr", "in", "out") for b in "klmno" for c in "pqrs"]
+    made += ["http://deep.example.org", "http://deep.example.org/", "http://deep.example.org//", "http://deep.example.org/a/b", None, "none"]
+    return spark.createDataFrame(list(enumerate(made)), "page_id long, url string")
+
+
+@pytest.mark.parametrize("source", ["small", "odd", "deep"])
+def test_templates_purity_and_verdicts_equal_brute_force(spark, odd_pages, deep_pages, source):
+    pages = {"small": read(spark, SMALL, "pages"), "odd": odd_pages, "deep": deep_pages}[source]
+    expected = plain_judgements(pages.collect())
+    got = sorted((str(r.page_id), r.template, round(r.purity, 9), r.verdict) for r in urls.judged(pages).collect())
+    assert got == expected
+    if source == "deep":
+        assert sum(t == "/a/b/c/d/*/e/*" for _, t, _, _ in got) == 60
+
+
+def test_templates_stay_when_rows_repeat_and_hosts_grow(spark):
+    def named(names, times):
+        rows = [(i, f"http://names.example.com/u/{n}/home") for i, n in enumerate(names)] * times
+        return {r.template for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+
+    names = [f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklm" for c in "nopqr"]
+    assert named(names[:50], 1) == named(names[:50], 5) == named(names, 3) == {"/u/*/home"}
