@@ -1,3 +1,4 @@
+import gzip
 import math
 import re
 from collections import Counter, defaultdict
@@ -53,6 +54,21 @@ def test_files_are_the_same_on_a_rerun_and_stay_small(spark, tmp_path):
     assert sorted(ids) == sorted(r.page_id for r in pages.select("page_id").collect())
 
 
+def test_shards_are_even_with_outlying_and_null_ids(spark, tmp_path):
+    ids = [*range(300), 10**15, -(10**17), *[None] * 300]
+    pages = spark.createDataFrame([(i, "http://a", f"{n} " + "x" * 1000) for n, i in enumerate(ids)], "page_id long, url string, html string")
+    manifest = warc.write(pages, f"file://{tmp_path}/w", shard_bytes=40_000)
+    held = Counter()
+    for f in manifest:
+        held[f["name"].split("-")[0]] += f["records"]
+    assert sum(held.values()) == len(ids) and len(held) >= 24 and max(held.values()) <= 40_000 // 1600 + 1
+    found = []
+    for f in manifest:
+        with pafs.LocalFileSystem().open_input_stream(f"{tmp_path}/w/{f['name']}", compression=None) as raw, gzip.GzipFile(fileobj=raw) as stream:
+            found += [int(h.get("x-page-id", -(10**18))) for h, _ in warc.records(stream)]
+    assert found == sorted(found)
+
+
 def plain_url(url):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host = re.sub("[A-Z]", lambda x: x[0].lower(), m[1]) if m else ""
