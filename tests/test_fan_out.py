@@ -14,3 +14,7 @@ def plan_of(df):
 def test_months_of_holdings_are_not_broadcast(spark):
     joins = re.findall(r"(\w+Join) \[(\w+)#", plan_of(registry.QUERIES["account_snapshot"](spark, SMALL)))
     assert joins[0] == ("SortMergeJoin", "customer_sk")
+
+
+def test_monthly_balances_are_not_broadcast(spark):
+    assert re.search(r"SortMergeJoin \[customer_sk#\w+\], \[customer_sk#\w+\], Inner", plan_of(registry.QUERIES["balance_by_group"](spark, SMALL)))
