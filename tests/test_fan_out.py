@@ -18,3 +18,14 @@ def test_months_of_holdings_are_not_broadcast(spark):
 
 def test_monthly_balances_are_not_broadcast(spark):
     assert re.search(r"SortMergeJoin \[customer_sk#\w+\], \[customer_sk#\w+\], Inner", plan_of(registry.QUERIES["balance_by_group"](spark, SMALL)))
+
+
+def test_account_fact_is_spread_by_customer(spark, monkeypatch):
+    monkeypatch.setattr(adapter, "CUSTOMERS_PER_TASK", 20)
+    star = adapter.TestStar(spark, SMALL)
+    tasks = star.fact_account_monthly.selectExpr("spark_partition_id() AS task", "customer_sk").distinct().groupBy("task").count().collect()
+    customers = star.raw("customer").count()
+    assert len(tasks) > 4 and sum(t["count"] for t in tasks) == customers and max(t["count"] for t in tasks) < customers / 3
+    # the keys of the fact are counted where its customers are: its rows are not shuffled
+    assert not re.search(r"hashpartitioning\(customer_sk#\w+, product_sk", plan_of(registry.QUERIES["unique_report"](spark, SMALL)))
+    assert not re.search(r"hashpartitioning\(customer_sk#\w+, month_end_date", plan_of(registry.QUERIES["balance_path"](spark, SMALL)))
