@@ -302,18 +302,24 @@ def _holdings(snapshot: DataFrame, products: DataFrame, *by: str) -> DataFrame:
 
 
 def feature_matrix(txn: DataFrame, snapshot: DataFrame, customers: DataFrame, products: DataFrame,
-                   as_of: DateLike) -> DataFrame:
+                   as_of: DateLike, columns: list[str] | None = None) -> DataFrame:
     """One numeric row per customer: every block joined to the customer, missing numbers 0.
 
     Three scans of the fact: one for all totals and months, rolled up to customers and months first, and one each for the median and
     the merchants, which read only the columns they need. All parts end grouped by the customer, so the joins reuse that
-    partitioning. Columns derived from a sealed label are never taken.
+    partitioning. Columns derived from a sealed label are never taken. With ``columns`` the matrix has the key and these columns
+    alone; a part that gives none of them is not computed.
     """
     out = customers.select(KEY, *[c for c in CUSTOMER_COLUMNS if c not in LABEL_DERIVED_COLUMNS])
-    for part in (_totals_at(txn, [str(as_of)]).drop("as_of"), median_ticket(txn, as_of), distinct_merchants(txn, as_of),
-                 balance_features(snapshot, products, as_of), holding_features(snapshot, products, as_of)):
-        out = out.join(part, KEY, "left")
-    return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)
+    totals = _totals_at(txn, [str(as_of)]).drop("as_of").withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH))
+    parts = (totals, median_ticket(txn, as_of), distinct_merchants(txn, as_of),
+             balance_features(snapshot, products, as_of), holding_features(snapshot, products, as_of))
+    for part in parts:
+        if columns is None or set(part.columns) & set(columns):
+            out = out.join(part, KEY, "left")
+    last = "purchases_per_active_month"
+    named = [c for c in out.columns if c != last] + [last] if columns is None else [KEY, *columns]
+    return out.select(*named).na.fill(0)
 
 
 def _merged(measures: list[str]) -> dict[str, str]:

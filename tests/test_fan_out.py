@@ -29,3 +29,18 @@ def test_account_fact_is_spread_by_customer(spark, monkeypatch):
     # the keys of the fact are counted where its customers are: its rows are not shuffled
     assert not re.search(r"hashpartitioning\(customer_sk#\w+, product_sk", plan_of(registry.QUERIES["unique_report"](spark, SMALL)))
     assert not re.search(r"hashpartitioning\(customer_sk#\w+, month_end_date", plan_of(registry.QUERIES["balance_path"](spark, SMALL)))
+
+
+def test_models_store_only_the_columns_they_take(spark):
+    stored = registry._stored_matrix(adapter.TestStar(spark, SMALL))
+    assert stored.columns == ["customer_sk", *registry.SEGMENT_COLUMNS]
+    whole = registry._matrix(adapter.TestStar(spark, SMALL)).select(stored.columns)
+    assert whole.exceptAll(stored).count() == stored.exceptAll(whole).count() == 0
+
+
+def test_tables_read_once_are_not_stored_first(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(adapter, "materialise", lambda df: kept.append(df) or df)
+    registry.QUERIES["manifest"](spark, SMALL)
+    registry.QUERIES["catalog_statistics"](spark, SMALL)
+    assert not kept
