@@ -390,9 +390,10 @@ def monthly_feature_snapshots(txn: DataFrame, snapshot: DataFrame, customers: Da
     balances = balance_history(accounts, "as_of").withColumn("balance_cv", _balance_cv())
     ends = before(snapshot, "month_end_date", dates[-1]).select("month_end_date").distinct()
     latest = ends.select("month_end_date", _later(dates, "month_end_date")).groupBy("as_of").agg(F.max("month_end_date").alias("month_end_date"))
-    holdings = _holdings(snapshot.join(latest, "month_end_date"), products, "as_of")
+    # a row a date; the snapshot is made by an explode and looks as small
+    holdings = _holdings(snapshot.join(F.broadcast(latest), "month_end_date"), products, "as_of")
 
     out = customers.select(KEY, *[c for c in CUSTOMER_COLUMNS if c not in LABEL_DERIVED_COLUMNS], F.explode(F.array(*[day(d) for d in dates])).alias("as_of"))
     for part in (_totals_at(txn, dates), medians_at(txn, dates), merchants, balances, holdings):
-        out = out.join(part, ["as_of", KEY], "left")
+        out = out.join(part.hint("merge"), ["as_of", KEY], "left")
     return out.withColumn("purchases_per_active_month", F.expr(PER_ACTIVE_MONTH)).na.fill(0)

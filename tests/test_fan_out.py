@@ -44,3 +44,9 @@ def test_tables_read_once_are_not_stored_first(spark, monkeypatch):
     registry.QUERIES["manifest"](spark, SMALL)
     registry.QUERIES["catalog_statistics"](spark, SMALL)
     assert not kept
+
+
+def test_dated_customers_are_not_broadcast(spark):
+    joins = re.findall(r"(\w+Join) \[(as_of#\w+, customer_sk|month_end_date)#\w+\].*?(Build\w+|LeftOuter)", plan_of(registry.QUERIES["monthly_feature_snapshots"](spark, SMALL)))
+    assert [j[0] for j in joins if j[1] != "month_end_date"] == ["SortMergeJoin"] * 5
+    assert [(j[0], j[2]) for j in joins if j[1] == "month_end_date"] == [("BroadcastHashJoin", "BuildRight")]
