@@ -2,6 +2,7 @@
 
 import re
 
+from cohortlift.operators import quality
 from verification import adapter, registry
 
 SMALL = "/root/testdata/sf0.001"
@@ -20,6 +21,17 @@ def test_monthly_balances_are_not_broadcast(spark):
     assert re.search(r"SortMergeJoin \[customer_sk#\w+\], \[customer_sk#\w+\], Inner", plan_of(registry.QUERIES["balance_by_group"](spark, SMALL)))
 
 
+def test_a_load_broadcasts_no_keys_of_customers_or_merchants(spark):
+    star = adapter.TestStar(spark, SMALL)
+    tables = star.tables()
+    # the keys of all parents, the merchants, the first month of each holder, the holders
+    assert set(re.findall(r"(\w+Join) \[ref#.*LeftAnti", plan_of(quality.fk_report(tables)))) == {"SortMergeJoin"}
+    checks = plan_of(quality.dq_suite(tables))
+    assert re.search(r"SortMergeJoin \[merchant_sk#\w+\], \[merchant_sk#\w+\], Inner", checks)
+    assert re.search(r"SortMergeJoin \[customer_sk#\w+\], \[customer_sk#\w+\], Inner", checks)
+    assert re.findall(r"(\w+Join) \[customer_sk#.*LeftAnti", plan_of(star.fact_campaign_response)) == ["SortMergeJoin"]
+
+
 def test_account_fact_is_spread_by_customer(spark, monkeypatch):
     monkeypatch.setattr(adapter, "CUSTOMERS_PER_TASK", 20)
     star = adapter.TestStar(spark, SMALL)
